@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotwise import schema as S
+from lotwise.sources.staging import stage
 
 
 def listing_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,3 +55,14 @@ def listing_view(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(key % 20 != 7, F.col("tx").cast("double")).alias(S.TX),
         )
     )
+
+
+_tables: dict[tuple[str, str], DataFrame] = {}
+
+
+def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The listing view as a table of its own, written once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _tables:
+        _tables[key] = stage(listing_view(spark, sf_dir))
+    return _tables[key]

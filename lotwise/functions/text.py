@@ -5,29 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# (?U) makes \s Unicode-aware; the four ASCII separators count as blanks too.
-_BLANK = r"[\s\x1c-\x1f]"
+# The characters Python counts as blanks.
+_BLANK = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 _CASED = r"\p{IsUppercase}\p{IsLowercase}\p{Lt}"
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, f"(?U)^{_BLANK}+|{_BLANK}+$", "")
+    return F.regexp_replace(text, f"^{_BLANK}+|{_BLANK}+$", "")
 
 
 def collapse_blanks(text: Column) -> Column:
-    return F.regexp_replace(text, f"(?U){_BLANK}+", " ")
+    return F.regexp_replace(text, f"{_BLANK}+", " ")
 
 
 def normalize_separator(text: Column) -> Column:
     """One comma and one blank between the items of a list in text."""
-    return F.regexp_replace(text, f"(?U){_BLANK}*,{_BLANK}*", ", ")
+    return F.regexp_replace(text, f"{_BLANK}*,{_BLANK}*", ", ")
 
 
 def title_case(text: Column) -> Column:
     """Capitalise every run of letters: ``semi-d 3rd`` becomes ``Semi-D 3Rd``.
 
-    ``initcap`` only starts words after blanks, so it serves plain ASCII words
-    (the usual case, and much cheaper); everything else is cut into runs.
+    ``initcap`` starts words after blanks only. It is much cheaper and serves
+    ASCII text without a letter right after a digit or sign (the usual case);
+    everything else is cut into runs.
     """
     runs = F.regexp_extract_all(F.lower(text), F.lit(f"([{_CASED}]+|[^{_CASED}]+)"), F.lit(1))
 
@@ -40,7 +41,8 @@ def title_case(text: Column) -> Column:
             F.substring(run, 2, 2**31 - 1),
         )
 
-    return F.when(text.rlike("^[A-Za-z ]*$"), F.initcap(text)).otherwise(
+    plain = text.rlike("^[ -~]*$") & ~text.rlike("[^A-Za-z ][A-Za-z]")
+    return F.when(plain, F.initcap(text)).otherwise(
         F.array_join(F.transform(runs, capitalise), "")
     )
 

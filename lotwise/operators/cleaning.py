@@ -121,19 +121,28 @@ def size_feature(df: DataFrame) -> DataFrame:
     return sized.withColumn(S.LOG_SIZE, F.log1p(S.SIZE)).drop(S.PSF)
 
 
-def area_density(df: DataFrame) -> DataFrame:
-    """Adds the share of the Area in all transactions; no column when the total is not positive."""
+def area_shares(df: DataFrame) -> DataFrame | None:
+    """Share of every Area in all transactions; None when the total is not positive."""
     if not {"Area", S.TX} <= set(df.columns):
-        return df
+        return None
     sums = stage(df.groupBy("Area").agg(F.sum(S.TX).alias("_area_tx")))
     total = sums.agg(F.sum("_area_tx")).first()[0]
     if total is None or total <= 0:
-        return df
+        return None
     # An Area without any number has the sum 0.
     share = F.coalesce("_area_tx", F.lit(0.0)) / F.lit(total)
-    shares = sums.where(F.col("Area").isNotNull()).select("Area", share.alias(S.DENSITY))
+    return sums.where(F.col("Area").isNotNull()).select("Area", share.alias(S.DENSITY))
+
+
+def add_density(df: DataFrame, shares: DataFrame | None) -> DataFrame:
+    if shares is None:
+        return df
     return df.join(shares, "Area", "left").select(*df.columns, S.DENSITY)
 
 
+def area_density(df: DataFrame) -> DataFrame:
+    return add_density(df, area_shares(df))
+
+
 def filter_state(df: DataFrame, state: str) -> DataFrame:
     return df.where(F.col("State") == state)

@@ -11,22 +11,23 @@ from lotwise.sources.staging import stage
 
 
 def clean_rows(df: DataFrame, approx: bool = False) -> DataFrame:
-    """The part before outlier removal: nulls, text, tenure, size and density."""
+    """The part before density and outliers: nulls, text, tenure and size."""
     df = C.drop_null_target(df)
-    df = C.impute_median(df, approx=approx)
     df = C.drop_identifier(df)
     df = C.standardize_text(df)
     df = C.canonicalize_tenure(df)
     df = C.size_feature(df)
-    # Text cleaning is the costly part and the fits below scan two columns each.
-    df = stage(df)
-    return C.area_density(df)
+    # Text cleaning is the costly part; each fit below scans one or two columns of its result.
+    return C.impute_median(stage(df), approx=approx)
 
 
 def preprocess(df: DataFrame, approx: bool = False) -> DataFrame:
-    """Density counts all rows; outliers go next; rare values are counted on what is left."""
+    """Shares count all rows; outliers go next; rare values are counted on what is left."""
     df = clean_rows(df, approx)
+    shares = C.area_shares(df)
+    # The shares are joined after the filters, which then stay next to the scan.
     df = C.iqr_filter_chain(df, (S.TARGET, S.TX), approx)
+    df = C.add_density(df, shares)
     df = C.bucket_rare_state(df)
     df = C.bucket_rare_area(df)
     return multi_hot(df)
