@@ -127,19 +127,21 @@ def box_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
 
 def box_stats_by_group(df: DataFrame, by: str, column: str = S.TARGET, log: bool = False) -> DataFrame:
     """Box statistics per group; ``position`` orders the groups by the median of the raw values."""
-    known = df.where(F.col(by).isNotNull()).select(F.col(by).alias("category"), _value(column, log).alias("value"))
-    quarters = stage(
-        exact_quantiles(known, ["value"], [0.25, 0.5, 0.75], by=["category"]).select(
-            "category", *[F.col("q")[i].alias(s) for i, s in enumerate(("q1", "median", "q3"))]
-        )
+    known = df.where(F.col(by).isNotNull()).select(
+        F.col(by).alias("category"), F.col(column).alias("raw"), _value(column, log).alias("value")
     )
-    # log1p keeps the order, so ranking by either median gives the same positions but for ties.
-    boxes = known.join(quarters, "category").groupBy("category", "q1", "median", "q3").agg(
-        *_box(F.col("value"), F.col("q1"), F.col("q3"))
+    wanted = ["raw", "value"] if log else ["value"]
+    found = stage(exact_quantiles(known, wanted, [0.25, 0.5, 0.75], by=["category"]))
+    quarters = found.where(F.col("column") == "value").select(
+        "category", *[F.col("q")[i].alias(s) for i, s in enumerate(("q1", "median", "q3"))]
     )
-    ranked = ordered_index(quarters, ["median", "category"]).select(
+    medians = found.where(F.col("column") == wanted[0]).select("category", F.col("q")[1].alias("m"))
+    ranked = ordered_index(medians, ["m", "category"]).select(
         "category", (F.col("index") + 1).cast("int").alias("position")
     )
+    boxes = known.join(quarters, "category").groupBy("category", "q1", "median", "q3").agg(
+        *_box(F.col("value"), F.col("q1"), F.col("q3"))
+    )
     return boxes.join(ranked, "category").select("category", "position", *_box_columns())
 
 
