@@ -22,9 +22,10 @@ PAIR = ["col_i", "col_j"]
 
 def pearson(a: str, b: str) -> Column:
     """Signed correlation; NULL when a side does not vary."""
+    # corr() divides by zero for a constant, which is an error in ANSI mode.
     x, y = nan_as_null(F.col(a)), nan_as_null(F.col(b))
-    r = F.corr(x, y)
-    return F.when(~F.isnan(r), r)
+    x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
 def pearson_pair(df: DataFrame, a: str, b: str) -> DataFrame:
