@@ -24,7 +24,7 @@ def _histograms(spark: SparkSession, sf: str) -> DataFrame:
     charts += [("target", raw, S.TARGET, D.TARGET_BINS, False), ("target_log", raw, S.TARGET, D.TARGET_BINS, True)]
     charts += [("clean_price", clean, S.TARGET, D.CLEAN_BINS, False)]
     parts = [
-        rounded(D.histogram(df, c, bins, log), 4).select(F.lit(name).alias("chart"), "bin", "low", "high", "n")
+        rounded(D.histogram(df, c, bins, log), 7).select(F.lit(name).alias("chart"), "bin", "low", "high", "n")
         for name, df, c, bins, log in charts
     ]
     result = parts[0]
@@ -68,7 +68,7 @@ QUERIES = {
 
 def _histogram_sql(name: str, table: str, value: str, bins: int) -> str:
     return f"""
-    SELECT '{name}' AS chart, CAST(i AS INTEGER) AS bin, round(lo + i * w, 4) AS low, round(lo + (i + 1) * w, 4) AS high,
+    SELECT '{name}' AS chart, CAST(i AS INTEGER) AS bin, round(lo + i * w, 7) AS low, round(lo + (i + 1) * w, 7) AS high,
            coalesce(n, 0) AS n
     FROM (SELECT i, lo, w FROM range({bins}) r(i),
           (SELECT min({value}) AS lo, (max({value}) - min({value})) / {bins} AS w FROM {table}))

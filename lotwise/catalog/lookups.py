@@ -41,7 +41,7 @@ def _fallback(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _reliability(spark: SparkSession, sf: str) -> DataFrame:
-    counts = value_frequencies(listings(spark, sf), "Area")
+    counts = stage(value_frequencies(listings(spark, sf), "Area"))
     return P.area_reliability(requests(spark, sf), counts).select("request_id", "Area", "few_note")
 
 
@@ -94,7 +94,7 @@ resolved AS (
             THEN 'Other_' || State ELSE Area END AS area_used, Area NOT IN (SELECT v FROM known) AS area_remapped
   FROM requests)"""
 _NOTE_SQL = (
-    "CASE WHEN area_remapped THEN '''' || Area || ''' not in training data''s known areas, reverted to using ''' "
+    "CASE WHEN area_remapped THEN '''' || r.Area || ''' not in training data''s known areas, reverted to using ''' "
     "|| area_used || ''' (state-level estimate).' END"
 )
 

@@ -14,6 +14,7 @@ from lotwise import schema as S
 from lotwise.operators.profile import per_column
 
 LABEL = "log_price"
+MAX_TREE_SLOTS = 512
 
 
 @dataclass(frozen=True)
@@ -52,43 +53,64 @@ def standard_scale(
     return df.withColumns({c: (F.col(c) - fitted[c][0]) / fitted[c][1] for c in columns})
 
 
-def one_hot_stages(columns: Sequence[str]) -> list:
-    """Unseen and NULL values get the one extra slot that the encoder drops: all zeros."""
-    indexer = StringIndexer(
+def category_indexer(columns: Sequence[str]) -> StringIndexer:
+    return StringIndexer(
         inputCols=list(columns),
         outputCols=[f"_index_{c}" for c in columns],
         handleInvalid="keep",
         stringOrderType="alphabetAsc",
     )
+
+
+def one_hot_stages(columns: Sequence[str]) -> list:
+    """Unseen and NULL values get the one extra slot that the encoder drops: all zeros."""
     encoder = OneHotEncoder(
         inputCols=[f"_index_{c}" for c in columns], outputCols=[f"_onehot_{c}" for c in columns]
     )
-    return [indexer, encoder]
+    return [category_indexer(columns), encoder]
 
 
-def encoder_stages(train: DataFrame, features: FeatureSet, flags: Sequence[str]) -> list:
-    parameters = scaling_parameters(train, features.numeric)
+def scaling_stage(train: DataFrame, columns: Sequence[str]) -> SQLTransformer:
+    parameters = scaling_parameters(train, columns)
     scaled = ", ".join(
         f"(`{c}` - {mean!r}D) / {std!r}D AS `_scaled_{c}`" for c, (mean, std) in parameters.items()
     )
-    assembler = VectorAssembler(
-        inputCols=[
-            *[f"_scaled_{c}" for c in features.numeric],
-            *[f"_onehot_{c}" for c in features.categorical],
-            *flags,
-        ],
-        outputCol="features",
-    )
-    return [
-        SQLTransformer(statement=f"SELECT *, {scaled} FROM __THIS__"),
-        *one_hot_stages(features.categorical),
-        assembler,
-    ]
+    return SQLTransformer(statement=f"SELECT *, {scaled} FROM __THIS__")
+
 
+def fit_encoder(train: DataFrame, features: FeatureSet, encoding: str = "one_hot") -> PipelineModel:
+    """Scaled numbers, encoded categories and flags as one vector.
 
-def fit_encoder(train: DataFrame, features: FeatureSet) -> PipelineModel:
+    Tree learners hold every slot of every row in memory, so wide one-hot
+    vectors do not scale for them. ``encoding="indexed"`` gives them one slot per
+    category column, which they split as a category; ``"auto"`` does so when the
+    one-hot form has more than MAX_TREE_SLOTS slots.
+    """
     flags = S.flag_columns(train.columns)
-    return Pipeline(stages=encoder_stages(train, features, flags)).fit(train)
+    indexer = category_indexer(features.categorical).fit(train)
+    if encoding == "auto":
+        slots = sum(len(labels) for labels in indexer.labelsArray)
+        encoding = "one_hot" if slots <= MAX_TREE_SLOTS else "indexed"
+    stages: list = [scaling_stage(train, features.numeric), indexer]
+    prefix = "_index_"
+    if encoding == "one_hot":
+        stages.append(one_hot_stages(features.categorical)[1])
+        prefix = "_onehot_"
+    inputs = [
+        *[f"_scaled_{c}" for c in features.numeric],
+        *[f"{prefix}{c}" for c in features.categorical],
+        *flags,
+    ]
+    stages.append(VectorAssembler(inputCols=inputs, outputCol="features"))
+    return Pipeline(stages=stages).fit(train)
+
+
+def tree_bins(encoder: PipelineModel) -> int:
+    """Bins that a tree learner needs: one per level of an indexed category."""
+    if not any(c.startswith("_index_") for c in encoder.stages[-1].getInputCols()):
+        return 32
+    indexer = next(s for s in encoder.stages if hasattr(s, "labelsArray"))
+    return max(32, *[len(labels) + 1 for labels in indexer.labelsArray])
 
 
 def encoded_names(encoder: PipelineModel) -> list[str]:
@@ -101,7 +123,7 @@ def encoded_names(encoder: PipelineModel) -> list[str]:
             base = column[len("_onehot_"):]
             names += [f"{base}_{level}" for level in levels[base]]
         else:
-            names.append(column.removeprefix("_scaled_"))
+            names.append(column.removeprefix("_scaled_").removeprefix("_index_"))
     return names
 
 

@@ -9,6 +9,7 @@ from pyspark.ml import Transformer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,12 +46,9 @@ class RandomFourierFeatures(Transformer, HasInputCol, HasOutputCol, DefaultParam
 
 def scale_gamma(encoded: DataFrame, column: str = "features") -> float:
     """1 / (number of features * variance of all entries of the matrix)."""
-    entries = vector_to_array(F.col(column))
-    n, total, squares = encoded.agg(
-        F.sum(F.size(entries)).cast("double"),
-        F.sum(F.aggregate(entries, F.lit(0.0), lambda a, x: a + x)),
-        F.sum(F.aggregate(entries, F.lit(0.0), lambda a, x: a + x * x)),
-    ).first()
-    width = encoded.select(F.size(entries)).first()[0]
-    variance = squares / n - (total / n) ** 2
+    summary = Summarizer.metrics("mean", "normL2", "count").summary(F.col(column)).alias("s")
+    mean, norm, n = encoded.agg(summary).select("s.mean", "s.normL2", "s.count").first()
+    width = mean.size
+    average = float(mean.toArray().sum()) / width
+    variance = float((norm.toArray() ** 2).sum()) / (n * width) - average**2
     return 1.0 / (width * variance) if variance > 0 else 1.0

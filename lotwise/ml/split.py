@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from math import ceil
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotwise import schema as S
+from lotwise.operators.chartdata import ordered_index
 from lotwise.operators.quantiles import order_statistics
 from lotwise.sources.staging import stage
 
@@ -51,15 +52,10 @@ def train_test_split(
     n_test = ceil(rows * test_share)
     exact = F.col("_size") * F.lit(n_test) / F.lit(max(rows, 1))
     quotas = sizes.withColumn("_quota", F.floor(exact)).withColumn("_rest", exact - F.floor(exact))
-    # One row per stratum.
-    order = Window.orderBy(F.desc("_rest"), "_stratum")
-    left = F.lit(n_test) - F.sum("_quota").over(Window.partitionBy())
-    quotas = stage(
-        quotas.withColumn("_left", left).select(
-            "_stratum",
-            (F.col("_quota") + (F.row_number().over(order) <= F.col("_left")).cast("long")).alias("_quota"),
-        )
-    )
+    left = n_test - (quotas.agg(F.sum("_quota")).first()[0] or 0)
+    ranked = ordered_index(quotas.withColumn("_order", -F.col("_rest")), ["_order", "_stratum"])
+    one_more = (F.col("index") < F.lit(left)).cast("long")
+    quotas = stage(ranked.select("_stratum", (F.col("_quota") + one_more).alias("_quota")))
 
     def with_ranks(cells: DataFrame) -> DataFrame:
         return cells.join(quotas, "_stratum").withColumn("_ranks", F.array(F.col("_quota") - 1)).drop("_quota")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StructType
 
 from lotwise import schema as S
+from lotwise.sources.staging import stage
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -31,11 +32,21 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     )
 
 
-def read_raw(spark: SparkSession, path: str, schema: StructType = S.RAW) -> DataFrame:
-    """CSV with a header row, read with a declared schema (inference would scan twice)."""
+def read_raw(spark: SparkSession, path: str, schema: StructType = S.RAW, multiline: bool = False) -> DataFrame:
+    """CSV with a header row, read with a declared schema (inference would scan twice).
+
+    ``multiline`` allows line breaks inside quotes; such files cannot be split
+    between tasks.
+    """
     reader = spark.read.schema(schema).option("header", True).option("enforceSchema", False)
     # Quotes inside a quoted field are doubled, as CSV writers commonly do.
-    return nan_to_null(reader.option("quote", '"').option("escape", '"').csv(require_path(spark, path)))
+    reader = reader.option("quote", '"').option("escape", '"').option("multiLine", multiline)
+    return nan_to_null(reader.csv(require_path(spark, path)))
+
+
+def with_listing_id(df: DataFrame) -> DataFrame:
+    """Adds a row key to a table without one, staged so that it does not change any more."""
+    return stage(df.select(F.monotonically_increasing_id().alias(S.ID), *df.columns))
 
 
 def read_clean(spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | None = None) -> DataFrame:
