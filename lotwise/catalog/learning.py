@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lotwise import schema as S
 from lotwise.catalog.common import (
-    SPLIT_SQL, baseline, baseline_sql, on_baseline, on_clean, requests, rounded, split_table, clean_table,
+    FLAGS, SPLIT_SQL, baseline, baseline_sql, on_baseline, on_clean, requests, rounded, split_table, clean_table,
 )
 from lotwise.catalog.tables import metrics_sql
 from lotwise.fixtures import listings
@@ -19,7 +21,9 @@ from lotwise.ml.explain import explain_trees
 from lotwise.ml.models import MODEL_NAMES, fit, predict
 from lotwise.ml.search import best_params_report, randomized_search
 from lotwise.ml.split import with_folds
+from lotwise.operators.encoding import select_features
 from lotwise.operators.market import lookup_table
+from lotwise.operators.profile import per_column
 from lotwise.plans import scoring as P
 from lotwise.plans.training import train_model
 from lotwise.sources.staging import stage
@@ -85,10 +89,14 @@ def _select_k_best(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _feature_sets(spark: SparkSession, sf: str) -> DataFrame:
-    """Input columns of each model, for the columns that the clean table has."""
-    flags = S.flag_columns(clean_table(spark, sf).columns)
-    rows = [(kind, i, c) for kind, f in X.FEATURE_SETS.items() for i, c in enumerate(f.columns(flags))]
-    return spark.createDataFrame(rows, "kind string, position int, feature string")
+    """Input columns of each model with the number of values the clean table has for them."""
+    clean = clean_table(spark, sf)
+    parts = []
+    for kind, features in X.FEATURE_SETS.items():
+        chosen = select_features(clean, features.categorical, features.numeric, target=None).drop(S.ID)
+        counts = per_column(chosen, chosen.columns, {"n": lambda c: F.count(f"`{c}`")})
+        parts.append(counts.select(F.lit(kind).alias("kind"), F.col("column").alias("feature"), "n"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _search(spark: SparkSession, sf: str) -> DataFrame:
@@ -177,6 +185,13 @@ SQL = {
     "kfold": on_clean(
         "SELECT listing_id, CAST(CAST('0x' || substr(md5('43:' || listing_id), 1, 13) AS BIGINT) % 5 AS INTEGER) AS fold FROM clean"
     ),
+    "feature_sets": on_clean(
+        " UNION ALL ".join(
+            f"SELECT '{kind}' AS kind, '{c}' AS feature, count(\"{c}\") AS n FROM clean"
+            for kind, f in X.FEATURE_SETS.items()
+            for c in f.columns(FLAGS)
+        )
+    ),
     "standard_scale": (
         f"WITH {SPLIT_SQL} SELECT listing_id, {_scale_sql('Transactions')}, {_scale_sql('Log_Estimated_Size')} FROM split"
     ),

@@ -64,5 +64,10 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The listing view as a table of its own, written once per application."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _tables:
-        _tables[key] = stage(listing_view(spark, sf_dir))
+        table = stage(listing_view(spark, sf_dir))
+        cores = spark.sparkContext.defaultParallelism
+        if table.rdd.getNumPartitions() < cores:
+            # A table this small has fewer files than the session has cores.
+            table = stage(table.repartition(cores))
+        _tables[key] = table
     return _tables[key]
