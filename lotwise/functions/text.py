@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 # The characters Python counts as blanks.
 _BLANK = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+# ASCII words, one blank apart, without a letter right after a digit or sign.
+_WORD = r"(?:[A-Za-z]++[!-@\[-`{-~]*+|[!-@\[-`{-~]++)"
+_TIDY = f"^(?:{_WORD}(?: {_WORD})*+)?$"
 _CASED = r"\p{IsUppercase}\p{IsLowercase}\p{Lt}"
 
 
@@ -26,9 +29,8 @@ def normalize_separator(text: Column) -> Column:
 def title_case(text: Column) -> Column:
     """Capitalise every run of letters: ``semi-d 3rd`` becomes ``Semi-D 3Rd``.
 
-    ``initcap`` starts words after blanks only. It is much cheaper and serves
-    ASCII text without a letter right after a digit or sign (the usual case);
-    everything else is cut into runs.
+    ``initcap`` starts words after blanks only. It is much cheaper and gives the
+    same for tidy text (the usual case); everything else is cut into runs.
     """
     runs = F.regexp_extract_all(F.lower(text), F.lit(f"([{_CASED}]+|[^{_CASED}]+)"), F.lit(1))
 
@@ -41,14 +43,15 @@ def title_case(text: Column) -> Column:
             F.substring(run, 2, 2**31 - 1),
         )
 
-    plain = text.rlike("^[ -~]*$") & ~text.rlike("[^A-Za-z ][A-Za-z]")
-    return F.when(plain, F.initcap(text)).otherwise(
+    return F.when(text.rlike(_TIDY), F.initcap(text)).otherwise(
         F.array_join(F.transform(runs, capitalise), "")
     )
 
 
 def standardize(text: Column) -> Column:
-    return title_case(collapse_blanks(strip(text.cast("string"))))
+    """Stripped, title-cased, with single blanks; tidy text needs one test and ``initcap``."""
+    raw = text.cast("string")
+    return F.when(raw.rlike(_TIDY), F.initcap(raw)).otherwise(title_case(collapse_blanks(strip(raw))))
 
 
 def tokens(text: Column) -> Column:

@@ -39,21 +39,17 @@ def impute_median(df: DataFrame, column: str = S.TX, approx: bool = False) -> Da
     return df.withColumn(column, F.coalesce(F.col(column), F.lit(median[0])))
 
 
-def iqr_fences(df: DataFrame, column: str, approx: bool = False) -> tuple[float, float] | None:
-    quartiles = quantile_values(df, [column], [0.25, 0.75], approx).get(column)
-    if quartiles is None:
-        return None
-    q1, q3 = quartiles
+def fences(q1: float, q3: float) -> tuple[float, float]:
     reach = 1.5 * (q3 - q1)
     return q1 - reach, q3 + reach
 
 
 def iqr_filter(df: DataFrame, column: str, approx: bool = False) -> DataFrame:
     """Keep rows inside the fences, ends included; NULLs go."""
-    fences = iqr_fences(df, column, approx)
-    if fences is None:
+    quartiles = quantile_values(df, [column], [0.25, 0.75], approx).get(column)
+    if quartiles is None:
         return df.where(F.lit(False))
-    return df.where(F.col(column).between(*fences))
+    return df.where(F.col(column).between(*fences(*quartiles)))
 
 
 def iqr_filter_chain(df: DataFrame, columns: Sequence[str] = (S.TARGET, S.TX), approx: bool = False) -> DataFrame:
@@ -79,30 +75,51 @@ def value_frequencies(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
 
 
+def category_frequencies(df: DataFrame, columns: Sequence[str] = ("State", "Area"), set_column: str = "Type") -> DataFrame:
+    """Staged (column, value, n) of several text columns and of the items of a set, in one pass."""
+    values = [
+        F.array(F.struct(F.lit(c).alias("column"), F.col(c).alias("value"))) for c in columns if c in df.columns
+    ]
+    if set_column in df.columns:
+        items = X.tokens(F.col(set_column))
+        values.append(F.transform(items, lambda v: F.struct(F.lit(set_column).alias("column"), v.alias("value"))))
+    long = df.select(F.inline(F.concat(*values))).where(F.col("value").isNotNull())
+    return stage(long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
+
+
 def rare_values(df: DataFrame, column: str, min_count: int) -> DataFrame:
     """Staged table of the values seen fewer than ``min_count`` times."""
     return stage(value_frequencies(df, column).where(F.col("n") < min_count).select(column))
 
 
-def _flag_rare(df: DataFrame, column: str, min_count: int) -> DataFrame:
-    rare = rare_values(df, column, min_count).withColumn("_rare", F.lit(True))
-    return df.join(rare, column, "left")
+def rare_among(frequencies: DataFrame, column: str, min_count: int) -> DataFrame:
+    """The same from the result of :func:`category_frequencies`."""
+    rare = (F.col("column") == column) & (F.col("n") < min_count)
+    return frequencies.where(rare).select(F.col("value").alias(column))
+
+
+def _flag_rare(df: DataFrame, column: str, rare: DataFrame) -> DataFrame:
+    return df.join(rare.withColumn("_rare", F.lit(True)), column, "left")
 
 
-def bucket_rare_state(df: DataFrame, min_count: int = MIN_STATE_ROWS) -> DataFrame:
+def bucket_rare_state(df: DataFrame, min_count: int = MIN_STATE_ROWS, rare: DataFrame | None = None) -> DataFrame:
     columns = df.columns
+    if rare is None:
+        rare = rare_values(df, "State", min_count)
     state = F.when(F.col("_rare"), F.lit(OTHER_STATE)).otherwise(F.col("State"))
-    return _flag_rare(df, "State", min_count).withColumn("State", state).select(*columns)
+    return _flag_rare(df, "State", rare).withColumn("State", state).select(*columns)
 
 
-def bucket_rare_area(df: DataFrame, min_count: int = MIN_AREA_ROWS) -> DataFrame:
+def bucket_rare_area(df: DataFrame, min_count: int = MIN_AREA_ROWS, rare: DataFrame | None = None) -> DataFrame:
     """Rarity counts the Area alone; the State of the row names the bucket."""
     columns = df.columns
     if not {"Area", "State"} <= set(columns):
         return df
+    if rare is None:
+        rare = rare_values(df, "Area", min_count)
     bucket = F.concat(F.lit(OTHER_AREA_PREFIX), F.col("State"))
     area = F.when(F.col("_rare"), bucket).otherwise(F.col("Area"))
-    return _flag_rare(df, "Area", min_count).withColumn("Area", area).select(*columns)
+    return _flag_rare(df, "Area", rare).withColumn("Area", area).select(*columns)
 
 
 def bucket_rare_type(df: DataFrame, min_count: int = MIN_TYPE_ROWS, output: str = "Type_Plot") -> DataFrame:
@@ -110,7 +127,8 @@ def bucket_rare_type(df: DataFrame, min_count: int = MIN_TYPE_ROWS, output: str
     columns = df.columns
     rare = F.col("_rare") | F.col("Type").isNull()
     value = F.when(rare, F.lit(OTHER_TYPE)).otherwise(F.col("Type"))
-    return _flag_rare(df, "Type", min_count).withColumn(output, value).select(*columns, output)
+    flagged = _flag_rare(df, "Type", rare_values(df, "Type", min_count))
+    return flagged.withColumn(output, value).select(*columns, output)
 
 
 def size_feature(df: DataFrame) -> DataFrame:

@@ -31,10 +31,12 @@ def normalize_separator(df: DataFrame, column: str = "Type") -> DataFrame:
     return df.withColumn(column, X.normalize_separator(F.col(column))) if column in df.columns else df
 
 
-def type_vocabulary(df: DataFrame, column: str = "Type") -> list[str]:
-    """Sorted distinct items; they become column names, so they come to the driver."""
-    items = df.select(F.explode(X.tokens(F.col(column))).alias("item")).distinct()
-    names = [r["item"] for r in items.limit(MAX_FLAG_COLUMNS + 1).collect()]
+def column_names_of(items: DataFrame, column: str = "Type") -> list[str]:
+    """Sorted values of a one-column frame of distinct items.
+
+    They become column names, so they come to the driver; their number is checked.
+    """
+    names = [r[0] for r in items.limit(MAX_FLAG_COLUMNS + 1).collect()]
     if len(names) > MAX_FLAG_COLUMNS:
         raise ValueError(
             f"{column} has more than {MAX_FLAG_COLUMNS} different items; use melt_types for the long form"
@@ -42,6 +44,10 @@ def type_vocabulary(df: DataFrame, column: str = "Type") -> list[str]:
     return sorted(names)
 
 
+def type_vocabulary(df: DataFrame, column: str = "Type") -> list[str]:
+    return column_names_of(df.select(F.explode(X.tokens(F.col(column)))).distinct(), column)
+
+
 def multi_hot(df: DataFrame, column: str = "Type", vocabulary: Sequence[str] | None = None) -> DataFrame:
     """Replace a set column by one 0/1 column per item, sorted by name."""
     if column not in df.columns:

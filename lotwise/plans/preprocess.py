@@ -3,31 +3,51 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from lotwise import schema as S
 from lotwise.operators import cleaning as C
-from lotwise.operators.encoding import multi_hot
+from lotwise.operators.encoding import column_names_of, multi_hot
+from lotwise.operators.quantiles import quantile_values
 from lotwise.sources.staging import stage
 
 
-def clean_rows(df: DataFrame, approx: bool = False) -> DataFrame:
-    """The part before density and outliers: nulls, text, tenure and size."""
+def clean_rows(df: DataFrame) -> DataFrame:
+    """The part that looks at one row at a time: target, text, tenure, size."""
     df = C.drop_null_target(df)
     df = C.drop_identifier(df)
     df = C.standardize_text(df)
     df = C.canonicalize_tenure(df)
-    df = C.size_feature(df)
-    # Text cleaning is the costly part; each fit below scans one or two columns of its result.
-    return C.impute_median(stage(df), approx=approx)
+    return C.size_feature(df)
 
 
 def preprocess(df: DataFrame, approx: bool = False) -> DataFrame:
-    """Shares count all rows; outliers go next; rare values are counted on what is left."""
-    df = clean_rows(df, approx)
-    shares = C.area_shares(df)
-    # The shares are joined after the filters, which then stay next to the scan.
-    df = C.iqr_filter_chain(df, (S.TARGET, S.TX), approx)
-    df = C.add_density(df, shares)
-    df = C.bucket_rare_state(df)
-    df = C.bucket_rare_area(df)
-    return multi_hot(df)
+    """Raw listings to model columns.
+
+    The same as the operators one after the other: median imputation, density of
+    all rows, price fences, transaction fences of what is left, rare States and
+    Areas counted on what is left after that, type flags. Fits that do not
+    depend on each other share a pass:
+
+    1. write the cleaned rows (text cleaning is the costly part);
+    2. median of the transactions and quartiles of the price;
+    3. transactions per Area;
+    4. quartiles of the transactions inside the price fences;
+    5. frequencies of States, Areas and type items inside both fences.
+    """
+    rows = stage(clean_rows(df))
+    quartiles = quantile_values(rows, [S.TARGET, S.TX], [0.25, 0.5, 0.75], approx)
+    if S.TX in quartiles:
+        rows = rows.withColumn(S.TX, F.coalesce(S.TX, F.lit(quartiles[S.TX][1])))
+    shares = C.area_shares(rows)
+    if S.TARGET in quartiles:
+        q1, _, q3 = quartiles[S.TARGET]
+        rows = rows.where(F.col(S.TARGET).between(*C.fences(q1, q3)))
+    rows = C.iqr_filter(rows, S.TX, approx)
+    frequencies = C.category_frequencies(rows)
+    # The joins come after the filters, which then stay next to the scan.
+    rows = C.add_density(rows, shares)
+    rows = C.bucket_rare_state(rows, rare=C.rare_among(frequencies, "State", C.MIN_STATE_ROWS))
+    rows = C.bucket_rare_area(rows, rare=C.rare_among(frequencies, "Area", C.MIN_AREA_ROWS))
+    items = frequencies.where("column = 'Type'").select("value")
+    return multi_hot(rows, vocabulary=column_names_of(items))
