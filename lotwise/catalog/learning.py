@@ -26,7 +26,7 @@ from lotwise.operators.market import lookup_table
 from lotwise.operators.profile import per_column
 from lotwise.plans import scoring as P
 from lotwise.plans.training import train_model
-from lotwise.sources.staging import stage
+from lotwise.sources.staging import small_table, stage
 
 # Small settings, so that a check of all queries takes minutes; the defaults of the
 # library are the full search lists.
@@ -85,7 +85,7 @@ def _select_k_best(spark: SparkSession, sf: str) -> DataFrame:
     selector = X.select_k_best(15).fit(encoder.transform(X.with_label(train)))
     names = X.encoded_names(encoder)
     chosen = [(i, names[i]) for i in selector.selectedFeatures]
-    return spark.createDataFrame(chosen, "slot int, feature string")
+    return small_table(spark, chosen, "slot int, feature string")
 
 
 def _feature_sets(spark: SparkSession, sf: str) -> DataFrame:

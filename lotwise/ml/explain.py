@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotwise.ml.features import encoded_names
-from lotwise.sources.staging import staging_path
+from lotwise.sources.staging import small_table, staging_path
 
 
 def tree_stage(model: PipelineModel):
@@ -122,7 +122,7 @@ def explain_trees(model: PipelineModel, inputs: DataFrame, key: str) -> DataFram
     encoded = encoder.transform(inputs)
     schema = f"`{key}` {inputs.schema[key].dataType.simpleString()}, feature string, contribution double, base_value double"
     if not used:
-        return spark.createDataFrame([], schema)
+        return small_table(spark, [], schema)
     sliced = VectorSlicer(inputCol="features", outputCol="_used", indices=used).transform(encoded)
     arrays = sliced.select(key, vector_to_array("_used").alias("x"))
     shared = spark.sparkContext.broadcast((leaves, names))

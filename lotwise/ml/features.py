@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from lotwise import schema as S
 from lotwise.operators.profile import per_column
+from lotwise.sources.staging import small_table
 
 LABEL = "log_price"
 MAX_TREE_SLOTS = 512
@@ -131,7 +132,7 @@ def known_categories(encoder: PipelineModel, spark) -> DataFrame:
     """(column, value) of the levels an encoder was fitted on."""
     indexer = next(s for s in encoder.stages if hasattr(s, "labelsArray"))
     rows = [(c, v) for c, labels in zip(indexer.getInputCols(), indexer.labelsArray) for v in labels]
-    return spark.createDataFrame(rows, "column string, value string")
+    return small_table(spark, rows, "column string, value string")
 
 
 def select_k_best(k: int, output: str = "selected") -> UnivariateFeatureSelector:

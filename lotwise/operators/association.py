@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lotwise import schema as S
 from lotwise.functions.numeric import nan_as_null
-from lotwise.sources.staging import stage
+from lotwise.sources.staging import small_table, stage
 
 PAIR = ["col_i", "col_j"]
 
@@ -133,7 +133,7 @@ def correlation_ratio(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFr
     between = F.sum(F.col("n") * shift * shift)
     within = F.sum(F.col("n") * F.col("spread"))
     value = F.sqrt(F.try_divide(between, between + within))
-    wanted = df.sparkSession.createDataFrame(list(pairs), "col_i string, col_j string")
+    wanted = small_table(df.sparkSession, list(pairs), "col_i string, col_j string")
     ratios = groups.join(grand, PAIR).groupBy(*PAIR).agg(value.alias("value"))
     return ratios.join(wanted, PAIR, "left_semi")
 
@@ -151,8 +151,7 @@ def association_matrix(df: DataFrame, exclude: Sequence[str] = ("Township", S.ID
     if texts and numbers:
         measured.append((correlation_ratio(df, list(product(texts, numbers))), "correlation_ratio"))
 
-    matrix = df.sparkSession.createDataFrame(
-        [(c, c, "identity", 1.0) for c in columns], "col_i string, col_j string, measure string, value double"
+    matrix = small_table(df.sparkSession, [(c, c, "identity", 1.0) for c in columns], "col_i string, col_j string, measure string, value double"
     )
     for upper, name in measured:
         labelled = upper.select(*PAIR, F.lit(name).alias("measure"), "value")

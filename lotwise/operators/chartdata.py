@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lotwise import schema as S
 from lotwise.functions.numeric import nan_as_null
 from lotwise.operators.quantiles import exact_quantiles, quantile_values
-from lotwise.sources.staging import stage
+from lotwise.sources.staging import small_table, stage
 
 RAW_BINS = 30
 TARGET_BINS = 40
@@ -38,7 +38,7 @@ def histogram(df: DataFrame, column: str, bins: int = RAW_BINS, log: bool = Fals
     ends = _range(df, column, log)
     schema = "bin int, low double, high double"
     if ends is None:
-        return spark.createDataFrame([], f"{schema}, n bigint")
+        return small_table(spark, [], f"{schema}, n bigint")
     _, low, high, _ = ends
     if low == high:
         low, high = low - 0.5, high + 0.5
@@ -46,8 +46,7 @@ def histogram(df: DataFrame, column: str, bins: int = RAW_BINS, log: bool = Fals
     v = _value(column, log)
     index = F.least(F.floor((v - F.lit(low)) / F.lit(width)), F.lit(bins - 1)).cast("int")
     counts = df.where(v.isNotNull()).groupBy(index.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    edges = spark.createDataFrame(
-        [(i, low + i * width, low + (i + 1) * width) for i in range(bins)], schema
+    edges = small_table(spark, [(i, low + i * width, low + (i + 1) * width) for i in range(bins)], schema
     )
     return edges.join(counts, "bin", "left").select("bin", "low", "high", F.coalesce("n", F.lit(0)).alias("n"))
 
@@ -64,7 +63,7 @@ def kde_curve(
     spark = df.sparkSession
     ends = _range(df, column, log)
     if ends is None or not ends[3]:
-        return spark.createDataFrame([], "point int, x double, density double, height double")
+        return small_table(spark, [], "point int, x double, density double, height double")
     n, low, high, std = ends
     bandwidth = std * n ** (-0.2)
     step = (high - low) / (points - 1)
@@ -76,7 +75,7 @@ def kde_curve(
     near = near.where("first <= last").select("v", F.explode(F.sequence("first", "last")).alias("point"))
     z = (F.lit(low) + F.col("point") * F.lit(step) - F.col("v")) / F.lit(bandwidth)
     sums = near.groupBy("point").agg(F.sum(F.exp(z * z * -0.5)).alias("s"))
-    grid = spark.createDataFrame([(i, low + i * step) for i in range(points)], "point int, x double")
+    grid = small_table(spark, [(i, low + i * step) for i in range(points)], "point int, x double")
     unit = n * bandwidth * 2.5066282746310002  # sqrt(2 pi)
     density = F.coalesce("s", F.lit(0.0)) / F.lit(unit)
     return grid.join(sums, "point", "left").select(
@@ -188,7 +187,7 @@ def scatter_grid(df: DataFrame, x: str = S.TX, y: str = S.TARGET, bins: int = 50
     known = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
     x0, x1, y0, y1 = known.agg(F.min(x), F.max(x), F.min(y), F.max(y)).first()
     if x0 is None:
-        return df.sparkSession.createDataFrame([], "x_bin int, y_bin int, n bigint")
+        return small_table(df.sparkSession, [], "x_bin int, y_bin int, n bigint")
 
     def cell(column: str, low: float, high: float) -> Column:
         width = (high - low) / bins or 1.0

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lotwise import schema as S
 from lotwise.functions.numeric import corrected_skewness, nan_as_null
 from lotwise.operators.quantiles import quantile_values, quantiles
-from lotwise.sources.staging import stage
+from lotwise.sources.staging import small_table, stage
 
 TOP_VALUES = 15
 SMALL_GROUP_ROWS = 5
@@ -69,7 +69,7 @@ def nunique(df: DataFrame, approx: bool = False) -> DataFrame:
     if approx:
         return per_column(df, columns, {"n_unique": lambda c: F.approx_count_distinct(c)})
     counted = text_value_counts(df, columns).groupBy("column").agg(F.count(F.lit(1)).alias("n"))
-    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+    names = small_table(df.sparkSession, [(c,) for c in columns], "column string")
     return names.join(counted, "column", "left").select("column", F.coalesce("n", F.lit(0)).alias("n_unique"))
 
 
@@ -173,7 +173,7 @@ def describe_all(df: DataFrame, approx: bool = False) -> DataFrame:
         names = ["min", "25%", "50%", "75%", "max"]
         parts.append(long(order, {s: F.col("q")[i] for i, s in enumerate(names)}, "number"))
 
-    stats = df.sparkSession.createDataFrame([(s,) for s in DESCRIBE_STATS], "stat string")
+    stats = small_table(df.sparkSession, [(s,) for s in DESCRIBE_STATS], "stat string")
     entries = parts[0]
     for part in parts[1:]:
         entries = entries.unionByName(part)
@@ -197,20 +197,17 @@ def fd_check(df: DataFrame, determinant: str = "Area", dependent: str = "State")
 def group_size_profile(df: DataFrame, column: str = "Area", small: int = SMALL_GROUP_ROWS) -> DataFrame:
     """Distribution of the rows per value, and how many values have few rows."""
     sizes = stage(df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n")))
-    quarters = quantiles(sizes, ["n"], [0.0, 0.25, 0.5, 0.75, 1.0]).select("column", "q")
+    quarters = quantile_values(sizes, ["n"], [0.0, 0.25, 0.5, 0.75, 1.0]).get("n", [None] * 5)
     few = F.count_if(F.col("n") < small)
-    moments = sizes.agg(
-        F.lit("n").alias("column"),
+    names = ["min", "q1", "median", "q3", "max"]
+    return sizes.agg(
         F.count(F.lit(1)).alias("n_groups"),
         F.avg("n").alias("mean"),
         F.stddev_samp("n").alias("std"),
+        *[F.lit(q).cast("double").alias(s) for q, s in zip(quarters, names)],
         few.alias("n_small"),
         F.try_divide(few * 100.0, F.count(F.lit(1))).alias("pct_small"),
     )
-    names = ["min", "q1", "median", "q3", "max"]
-    return moments.join(quarters, "column", "left").select(
-        "n_groups", "mean", "std", *[F.col("q")[i].alias(s) for i, s in enumerate(names)], "n_small", "pct_small"
-    )
 
 
 def rare_category_pct(

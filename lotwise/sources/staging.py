@@ -9,9 +9,13 @@ join, whose hot partitions adaptive execution splits.
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Sequence
 from uuid import uuid4
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 _KEY = "spark.checkpoint.dir"
 _staged: list[str] = []
@@ -43,6 +47,16 @@ def stage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_table(spark: SparkSession, rows: Sequence[tuple], schema: StructType | str) -> DataFrame:
+    """A local relation of rows made on the driver (names, grid points, labels).
+
+    Unlike a frame made from a list it has a known size, so Catalyst broadcasts it.
+    """
+    fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    records = [dict(zip(fields.names, row)) for row in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(records, schema=to_arrow_schema(fields)))
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Delete the tables staged by this driver, once their results are written."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path
