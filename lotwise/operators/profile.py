@@ -40,8 +40,8 @@ def per_column(df: DataFrame, columns: Sequence[str], stats: Mapping[str, Callab
 
 def text_value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, value, n) of every non-null text value."""
-    pairs = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
-    long = df.select(F.inline(F.array(*pairs))).where(F.col("value").isNotNull())
+    texts = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
+    long = texts.unpivot([], list(columns), "column", "value").where(F.col("value").isNotNull())
     return long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 

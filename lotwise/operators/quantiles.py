@@ -13,7 +13,7 @@ cannot serve a column of a trillion prices. Here each pass only counts:
 Every step is a hash aggregation over (group, cell), so a group with a third of
 all rows is spread over many tasks.
 
-An input that the planner's statistics bound to a size that one task can hold
+An input that the planner's statistics bound to a few hundred thousand values
 takes ``percentile`` instead, which needs a single pass and no staged table.
 """
 
@@ -29,8 +29,9 @@ from lotwise.sources.staging import stage
 
 FINE_CELLS = 65536
 
-# Largest input, by the planner's estimate, whose groups may sit in one task.
-SMALL_BYTES = 64 * 1024 * 1024
+# Largest input, by the planner's estimate, for `percentile`: some hundred thousand
+# different values, where its single pass still beats the staged passes.
+SMALL_BYTES = 2 * 1024 * 1024
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -40,12 +41,14 @@ def estimated_bytes(df: DataFrame) -> int:
 
 def melt_numeric(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """One row (by..., column, value) per non-null number."""
-    pairs = [F.struct(F.lit(c).alias("column"), nan_as_null(F.col(c)).alias("value")) for c in columns]
     keys = [F.col(c) for c in by]
-    if len(pairs) == 1:
-        long = df.select(*keys, F.lit(columns[0]).alias("column"), nan_as_null(F.col(columns[0])).alias("value"))
+    if len(columns) == 1:
+        value = nan_as_null(F.col(columns[0])).alias("value")
+        long = df.select(*keys, F.lit(columns[0]).alias("column"), value)
     else:
-        long = df.select(*keys, F.inline(F.array(*pairs)))
+        numbers = df.select(*keys, *[nan_as_null(F.col(c)).alias(f"_v_{c}") for c in columns])
+        long = numbers.unpivot(list(by), [f"_v_{c}" for c in columns], "column", "value")
+        long = long.select(*keys, F.substring("column", 4, 2**31 - 1).alias("column"), "value")
     return long.where(F.col("value").isNotNull())
 
 
