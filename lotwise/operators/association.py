@@ -68,19 +68,41 @@ def contingency(df: DataFrame, a: str, b: str) -> DataFrame:
     return known.groupBy(a, b).agg(F.count(F.lit(1)).alias("n"))
 
 
+def pair_counts(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """(col_i, col_j, a, b, n): the cross tables of all pairs, in long form, from one pass.
+
+    NULLs can only go after grouping: a row with one still counts for the other pairs.
+    """
+    columns = list(dict.fromkeys(c for pair in pairs for c in pair))
+    counts = df.groupingSets([[F.col(a), F.col(b)] for a, b in pairs], *columns).agg(
+        F.count(F.lit(1)).alias("n"), F.grouping_id(*columns).alias("_set")
+    )
+
+    def labelled(pick) -> Column:
+        """For each pair the picked column or name, chosen by the grouping set of the row."""
+        value = None
+        for pair in pairs:
+            # grouping_id has a 1 for each column that is not in the set, first column highest.
+            code = sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in pair)
+            hit = F.col("_set") == code
+            value = F.when(hit, pick(pair)) if value is None else value.when(hit, pick(pair))
+        return value
+
+    return counts.select(
+        labelled(lambda p: F.lit(p[0])).alias("col_i"),
+        labelled(lambda p: F.lit(p[1])).alias("col_j"),
+        labelled(lambda p: F.col(p[0])).alias("a"),
+        labelled(lambda p: F.col(p[1])).alias("b"),
+        "n",
+    ).where(F.col("a").isNotNull() & F.col("b").isNotNull())
+
+
 def cramers_v(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """(col_i, col_j, value): bias-corrected V without continuity correction.
 
     chi² = n (Σ n_ij² / (n_i n_j) - 1) needs the non-empty cells only.
     """
-    sides = [
-        F.struct(
-            F.lit(a).alias("col_i"), F.lit(b).alias("col_j"), F.col(a).alias("a"), F.col(b).alias("b")
-        )
-        for a, b in pairs
-    ]
-    known = df.select(F.inline(F.array(*sides))).where(F.col("a").isNotNull() & F.col("b").isNotNull())
-    cells = stage(known.groupBy(*PAIR, "a", "b").agg(F.count(F.lit(1)).alias("n")))
+    cells = stage(pair_counts(df, pairs))
     rows = cells.groupBy(*PAIR, "a").agg(F.sum("n").alias("n_a"))
     cols = cells.groupBy(*PAIR, "b").agg(F.sum("n").alias("n_b"))
     share = F.col("n").cast("double") * F.col("n") / (F.col("n_a").cast("double") * F.col("n_b"))
@@ -111,9 +133,10 @@ def correlation_ratio(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFr
     """(col_i, col_j, value) for (category, number) pairs: sqrt(between / total sum of squares)."""
     categories = list(dict.fromkeys(c for c, _ in pairs))
     numbers = list(dict.fromkeys(v for _, v in pairs))
-    sides = [F.struct(F.lit(c).alias("col_i"), F.col(c).alias("category")) for c in categories]
-    values = [nan_as_null(F.col(v)).alias(f"v{i}") for i, v in enumerate(numbers)]
-    known = df.select(*values, F.inline(F.array(*sides))).where(F.col("category").isNotNull())
+    names = [f"v{i}" for i in range(len(numbers))]
+    values = [nan_as_null(F.col(v)).alias(name) for v, name in zip(numbers, names)]
+    long = df.select(*values, *categories).unpivot(names, categories, "col_i", "category")
+    known = long.where(F.col("category").isNotNull())
     moments = known.groupBy("col_i", "category").agg(
         *[
             F.struct(
