@@ -84,7 +84,7 @@ def _select_k_best(spark: SparkSession, sf: str) -> DataFrame:
     encoder = X.fit_encoder(train, X.FEATURE_SETS["svr"])
     selector = X.select_k_best(15).fit(encoder.transform(X.with_label(train)))
     names = X.encoded_names(encoder)
-    chosen = [(i, names[i]) for i in selector.selectedFeatures]
+    chosen = [(i, names[i]) for i in selector.getIndices()]
     return small_table(spark, chosen, "slot int, feature string")
 
 
@@ -124,14 +124,32 @@ def _score_all(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _explain(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether base value and contributions add up to the prediction, for every row."""
     rows = split_table(spark, sf)
     model = fit(_train(spark, sf), "boosted", **BOOSTED)
-    parts = explain_trees(model, rows, S.ID)
-    sums = parts.groupBy(S.ID).agg((F.sum("contribution") + F.first("base_value")).alias("explained"))
-    top = parts.groupBy(S.ID).agg(F.max_by("feature", F.abs("contribution")).alias("top_feature"))
+    sums = explain_trees(model, rows, S.ID).groupBy(S.ID).agg(
+        (F.sum("contribution") + F.first("base_value")).alias("explained")
+    )
     predicted = predict(model, rows).select(S.ID, F.log1p("pred_price").alias("log_pred"))
-    joined = predicted.join(sums, S.ID).join(top, S.ID)
-    return joined.select(S.ID, "top_feature", F.round("log_pred", 6).alias("log_pred"), F.round("explained", 6).alias("explained"))
+    same = F.abs(F.col("log_pred") - F.col("explained")) < 1e-8
+    return predicted.join(sums, S.ID).select(S.ID, same.alias("adds_up"))
+
+
+def _fit_one_slot(spark: SparkSession, sf: str) -> DataFrame:
+    """Least squares on a single number, which SQL has as well."""
+    rows = split_table(spark, sf).select(S.ID, "split", S.LOG_SIZE, S.TARGET)
+    one = X.FeatureSet((), (S.LOG_SIZE,))
+    model = fit(rows.where("split = 'train'"), "linear", features=one)
+    return predict(model, rows).select(S.ID, F.round(F.log1p("pred_price"), 6).alias("log_pred"))
+
+
+def _select_numbers(spark: SparkSession, sf: str) -> DataFrame:
+    """The four best of the numbers and flags; the F-test ranks by squared correlation."""
+    train = _train(spark, sf)
+    encoder = X.fit_encoder(train, X.FeatureSet((), X.FEATURE_SETS["svr"].numeric))
+    selector = X.select_k_best(4).fit(encoder.transform(X.with_label(train)))
+    names = X.encoded_names(encoder)
+    return small_table(spark, [(names[i],) for i in selector.getIndices()], "feature string")
 
 
 QUERIES = {
@@ -142,12 +160,14 @@ QUERIES = {
     "assemble": _assemble,
     "target_log": _target_log,
     "select_k_best": _select_k_best,
+    "select_k_best_numbers": _select_numbers,
     "feature_sets": _feature_sets,
     "metrics_price": lambda spark, sf: rounded(M.metrics_price(baseline(spark, sf)), 4),
     "metrics_log": lambda spark, sf: rounded(M.metrics_log(baseline(spark, sf)), 6),
     "evaluate_train_test": lambda spark, sf: rounded(M.evaluate_train_test(baseline(spark, sf), "by_state"), 6),
     "model_comparison": _comparison,
     "fit_linear": _fit_metrics("linear", LINEAR),
+    "fit_linear_one_slot": _fit_one_slot,
     "fit_forest": _fit_metrics("forest", FOREST),
     "fit_boosted": _fit_metrics("boosted", BOOSTED),
     "fit_svr": _fit_metrics("svr", SVR),
@@ -200,6 +220,31 @@ SQL = {
         f"Tenure_s.i AS Tenure_slot FROM split LEFT JOIN {_slot_sql('Area')} LEFT JOIN {_slot_sql('State')} "
         f"LEFT JOIN {_slot_sql('Tenure')}"
     ),
+    "assemble": (
+        f"WITH {SPLIT_SQL}, t AS (SELECT * FROM split WHERE split = 'train') SELECT listing_id, "
+        "CAST(3 + (SELECT count(DISTINCT Area) + count(DISTINCT State) + count(DISTINCT Tenure) FROM t) "
+        f"+ {len(FLAGS)} AS INTEGER) AS width, CAST("
+        + " + ".join(
+            [f"CAST({c} <> (SELECT avg({c}) FROM t) AS INTEGER)" for c in (S.TX, S.LOG_SIZE, S.DENSITY)]
+            + [f"CAST({c} IN (SELECT {c} FROM t) AS INTEGER)" for c in ("Area", "State", "Tenure")]
+            + FLAGS
+        )
+        + " AS INTEGER) AS non_zero FROM split"
+    ),
+    "select_k_best_numbers": (
+        f"WITH {SPLIT_SQL} SELECT feature FROM ("
+        + " UNION ALL ".join(
+            f"SELECT '{c}' AS feature, corr({c}, ln(1 + Median_Price)) ** 2 AS r2 FROM split WHERE split = 'train'"
+            for c in (S.TX, S.LOG_SIZE, S.DENSITY, *FLAGS)
+        )
+        + ") ORDER BY r2 DESC LIMIT 4"
+    ),
+    "fit_linear_one_slot": (
+        f"WITH {SPLIT_SQL}, line AS (SELECT regr_slope(ln(1 + Median_Price), Log_Estimated_Size) AS a, "
+        "regr_intercept(ln(1 + Median_Price), Log_Estimated_Size) AS b FROM split WHERE split = 'train') "
+        "SELECT listing_id, round(b + a * Log_Estimated_Size, 6) AS log_pred FROM split, line"
+    ),
+    "explain_trees": f"WITH {SPLIT_SQL} SELECT listing_id, true AS adds_up FROM split",
     "target_log": on_clean(
         "SELECT listing_id, round(ln(1 + Median_Price), 4) AS log_price, round(Median_Price, 4) AS price FROM clean"
     ),

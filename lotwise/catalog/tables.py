@@ -54,14 +54,15 @@ def _metrics_upsert(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _model_save(spark: SparkSession, sf: str) -> DataFrame:
-    """Predictions of a saved and loaded model beside those of the model itself."""
+    """Whether a saved and loaded model predicts the same as the model itself, for every row."""
     rows = split_table(spark, sf)
     model = fit(rows.where("split = 'train'"), "linear", maxIter=30)
     path = staging_path(spark)
     save_model(model, path)
-    before = predict(model, rows).select(S.ID, F.col("pred_price").alias("pred_fitted"))
-    after = predict(load_model(path), rows).select(S.ID, F.col("pred_price").alias("pred_loaded"))
-    return before.join(after, S.ID)
+    both = predict(model, rows).withColumnRenamed("pred_price", "pred_fitted")
+    both = predict(load_model(path), both)
+    same = F.abs(F.col("pred_price") - F.col("pred_fitted")) <= F.abs("pred_fitted") * 1e-9
+    return both.select(S.ID, "split", same.alias("same"))
 
 
 def metrics_sql(preds: str, model: str, digits: int = 6) -> str:
@@ -89,6 +90,7 @@ QUERIES = {
 }
 
 SQL = {
+    "model_save": f"WITH {SPLIT_SQL} SELECT listing_id, split, true AS same FROM split",
     "read_raw": on_listing("SELECT * FROM listing"),
     "read_clean": on_clean(f"SELECT {CLEAN_COLUMNS_SQL} FROM clean"),
     "write_clean": on_clean(f"SELECT {CLEAN_COLUMNS_SQL} FROM clean"),

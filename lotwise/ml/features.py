@@ -5,9 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, UnivariateFeatureSelector, VectorAssembler
-from pyspark.sql import DataFrame
+import numpy as np
+from pyspark import keyword_only
+from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler, VectorSlicer
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.param.shared import HasInputCol, HasLabelCol, HasOutputCol
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotwise import schema as S
@@ -88,15 +93,17 @@ def fit_encoder(train: DataFrame, features: FeatureSet, encoding: str = "one_hot
     one-hot form has more than MAX_TREE_SLOTS slots.
     """
     flags = S.flag_columns(train.columns)
-    indexer = category_indexer(features.categorical).fit(train)
-    if encoding == "auto":
-        slots = sum(len(labels) for labels in indexer.labelsArray)
-        encoding = "one_hot" if slots <= MAX_TREE_SLOTS else "indexed"
-    stages: list = [scaling_stage(train, features.numeric), indexer]
+    stages: list = [scaling_stage(train, features.numeric)]
     prefix = "_index_"
-    if encoding == "one_hot":
-        stages.append(one_hot_stages(features.categorical)[1])
-        prefix = "_onehot_"
+    if features.categorical:
+        indexer = category_indexer(features.categorical).fit(train)
+        stages.append(indexer)
+        if encoding == "auto":
+            slots = sum(len(labels) for labels in indexer.labelsArray)
+            encoding = "one_hot" if slots <= MAX_TREE_SLOTS else "indexed"
+        if encoding == "one_hot":
+            stages.append(one_hot_stages(features.categorical)[1])
+            prefix = "_onehot_"
     inputs = [
         *[f"_scaled_{c}" for c in features.numeric],
         *[f"{prefix}{c}" for c in features.categorical],
@@ -106,38 +113,83 @@ def fit_encoder(train: DataFrame, features: FeatureSet, encoding: str = "one_hot
     return Pipeline(stages=stages).fit(train)
 
 
+def category_levels(model: PipelineModel) -> dict[str, list[str]]:
+    """Levels per category column, as fitted; empty without categories."""
+    for stage in model.stages:
+        if hasattr(stage, "labelsArray"):
+            return dict(zip(stage.getInputCols(), stage.labelsArray))
+    return {}
+
+
 def tree_bins(encoder: PipelineModel) -> int:
     """Bins that a tree learner needs: one per level of an indexed category."""
-    if not any(c.startswith("_index_") for c in encoder.stages[-1].getInputCols()):
-        return 32
-    indexer = next(s for s in encoder.stages if hasattr(s, "labelsArray"))
-    return max(32, *[len(labels) + 1 for labels in indexer.labelsArray])
+    indexed = any(c.startswith("_index_") for c in encoder.stages[-1].getInputCols())
+    return max(32, *[len(v) + 1 for v in category_levels(encoder).values()]) if indexed else 32
 
 
 def encoded_names(encoder: PipelineModel) -> list[str]:
     """Names of the slots of the feature vector, in order."""
-    indexer = next(s for s in encoder.stages if hasattr(s, "labelsArray"))
-    levels = dict(zip(indexer.getInputCols(), indexer.labelsArray))
+    levels = category_levels(encoder)
     names: list[str] = []
     for column in encoder.stages[-1].getInputCols():
         if column.startswith("_onehot_"):
-            base = column[len("_onehot_"):]
+            base = column.removeprefix("_onehot_")
             names += [f"{base}_{level}" for level in levels[base]]
         else:
             names.append(column.removeprefix("_scaled_").removeprefix("_index_"))
     return names
 
 
-def known_categories(encoder: PipelineModel, spark) -> DataFrame:
-    """(column, value) of the levels an encoder was fitted on."""
-    indexer = next(s for s in encoder.stages if hasattr(s, "labelsArray"))
-    rows = [(c, v) for c, labels in zip(indexer.getInputCols(), indexer.labelsArray) for v in labels]
+def known_categories(model: PipelineModel, spark: SparkSession) -> DataFrame:
+    """(column, value) of the levels a model was fitted on."""
+    rows = [(c, v) for c, levels in category_levels(model).items() for v in levels]
     return small_table(spark, rows, "column string, value string")
 
 
-def select_k_best(k: int, output: str = "selected") -> UnivariateFeatureSelector:
-    """F-test of every encoded feature against the logarithmic target."""
-    selector = UnivariateFeatureSelector(
-        featuresCol="features", outputCol=output, labelCol=LABEL, selectionMode="numTopFeatures"
-    )
-    return selector.setFeatureType("continuous").setLabelType("continuous").setSelectionThreshold(k)
+def f_scores(df: DataFrame, features: str, label: str) -> np.ndarray:
+    """Squared correlation of every slot with the label: the F-test ranks by it.
+
+    P-values of large tables are all 0, so they cannot rank. One aggregation of
+    sparse vectors; the label, shifted to be non-negative, is the weight that
+    gives the products.
+    """
+    lowest = df.agg(F.min(label)).first()[0]
+    weight = F.col(label) - F.lit(lowest)
+    plain = Summarizer.metrics("mean", "variance").summary(F.col(features))
+    weighted = Summarizer.metrics("mean").summary(F.col(features), weight)
+    row = df.agg(
+        plain.alias("x"),
+        weighted.alias("wx"),
+        F.avg(weight).alias("w"),
+        F.var_samp(weight).alias("spread"),
+        F.count(F.lit(1)).alias("n"),
+    ).first()
+    means, spreads = row["x"]["mean"].toArray(), row["x"]["variance"].toArray()
+    if not row["w"]:
+        return np.zeros_like(means)
+    covariance = row["w"] * (row["wx"]["mean"].toArray() - means) * row["n"] / (row["n"] - 1)
+    varies = spreads > 0
+    return np.where(varies, covariance**2 / np.where(varies, spreads * row["spread"], 1.0), -1.0)
+
+
+class KBestSelector(Estimator, HasInputCol, HasOutputCol, HasLabelCol):
+    """Keeps the k slots with the best F-test against the label; fits a VectorSlicer."""
+
+    k = Param(Params._dummy(), "k", "number of slots to keep", TypeConverters.toInt)
+
+    @keyword_only
+    def __init__(self, *, inputCol="features", outputCol="selected", labelCol=LABEL, k=10):
+        super().__init__()
+        self._set(**self._input_kwargs)
+        self._setDefault(inputCol="features", outputCol="selected", labelCol=LABEL, k=10)
+
+    def _fit(self, dataset: DataFrame) -> VectorSlicer:
+        scores = f_scores(dataset, self.getInputCol(), self.getOrDefault(self.labelCol))
+        best = np.argsort(-scores, kind="stable")[: self.getOrDefault(self.k)]
+        return VectorSlicer(
+            inputCol=self.getInputCol(), outputCol=self.getOutputCol(), indices=sorted(int(i) for i in best)
+        )
+
+
+def select_k_best(k: int, output: str = "selected") -> KBestSelector:
+    return KBestSelector(outputCol=output, k=k)

@@ -10,7 +10,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame
 
 from lotwise import schema as S
-from lotwise.ml.features import FEATURE_SETS, LABEL, fit_encoder, select_k_best, tree_bins, with_label
+from lotwise.ml.features import FEATURE_SETS, LABEL, FeatureSet, fit_encoder, select_k_best, tree_bins, with_label
 from lotwise.ml.kernel import RandomFourierFeatures
 
 # The names models have in the metrics table.
@@ -69,16 +69,26 @@ def chain(*models: PipelineModel) -> PipelineModel:
     return PipelineModel(stages=[stage for m in models for stage in m.stages])
 
 
-def fit_inputs(train: DataFrame, kind: str, encoding: str | None = None) -> tuple[PipelineModel, dict[str, Any]]:
+def fit_inputs(
+    train: DataFrame, kind: str, encoding: str | None = None, features: FeatureSet | None = None
+) -> tuple[PipelineModel, dict[str, Any]]:
     """The fitted encoder of a model kind and the parameters that follow from it."""
     is_tree = kind in TREE_KINDS
-    encoder = fit_encoder(train, FEATURE_SETS[kind], encoding or ("auto" if is_tree else "one_hot"))
+    encoding = encoding or ("auto" if is_tree else "one_hot")
+    encoder = fit_encoder(train, features or FEATURE_SETS[kind], encoding)
     return encoder, {"maxBins": tree_bins(encoder)} if is_tree else {}
 
 
-def fit(train: DataFrame, kind: str, target: str = S.TARGET, encoding: str | None = None, **params: Any) -> PipelineModel:
+def fit(
+    train: DataFrame,
+    kind: str,
+    target: str = S.TARGET,
+    encoding: str | None = None,
+    features: FeatureSet | None = None,
+    **params: Any,
+) -> PipelineModel:
     """Fit encoder and regressor; the model maps a clean row to ``pred_price``."""
-    encoder, derived = fit_inputs(train, kind, encoding)
+    encoder, derived = fit_inputs(train, kind, encoding, features)
     encoded = encoder.transform(with_label(train, target)).select("features", LABEL)
     stages = regressor_stages(kind, **{**derived, **params})
     return chain(encoder, Pipeline(stages=stages).fit(encoded))

@@ -19,17 +19,20 @@ from pyspark.sql.types import StructType
 
 _KEY = "spark.checkpoint.dir"
 _staged: list[str] = []
+_local_roots: dict[str, str] = {}
 
 
 def staging_root(spark: SparkSession) -> str:
+    """The folder of the session, or a temporary one where a local session names none."""
     root = spark.conf.get(_KEY, None) or spark.sparkContext.getConf().get(_KEY, None)
     if root:
         return root
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {_KEY} to a folder that every executor can reach")
-    root = tempfile.mkdtemp(prefix="lotwise-")
-    spark.conf.set(_KEY, root)
-    return root
+    application = spark.sparkContext.applicationId
+    if application not in _local_roots:
+        _local_roots[application] = tempfile.mkdtemp(prefix="lotwise-")
+    return _local_roots[application]
 
 
 def staging_path(spark: SparkSession) -> str:

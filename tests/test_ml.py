@@ -6,7 +6,7 @@ from math import ceil, factorial
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from lotwise import schema as S
@@ -151,6 +151,20 @@ def test_svr_parameters():
     assert rbf["gamma"] == 0.5 and rbf["k"] == 15
 
 
+def test_k_best_ranks_by_correlation(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(300, 5)) * [1, 10, 0, 1, 1]
+    y = x[:, 1] * 0.1 + x[:, 3] * 2 + rng.normal(size=300)
+    rows = [(list(map(float, r)), float(v)) for r, v in zip(x, y)]
+    df = spark.createDataFrame(rows, f"x array<double>, {E.LABEL} double").select(array_to_vector("x").alias("features"), E.LABEL)
+    expected = [np.corrcoef(x[:, i], y)[0, 1] ** 2 if i != 2 else -1 for i in range(5)]
+    assert E.f_scores(df, "features", E.LABEL) == pytest.approx(expected)
+    model = E.select_k_best(2).fit(df)
+    assert model.getIndices() == [1, 3]
+    assert model.transform(df).first()["selected"].size == 2
+    assert E.select_k_best(99).fit(df).getIndices() == [0, 1, 2, 3, 4]
+
+
 def test_metrics_match_numpy(spark):
     rng = np.random.default_rng(2)
     y = rng.lognormal(12, 0.5, 400)
