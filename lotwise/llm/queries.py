@@ -4,22 +4,108 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from lotwise.llm import chat, decontam, langid, secret_scan, toxicity, token_store
 from lotwise.llm.jaccard import jaccard_components
+from lotwise.llm.oracles import SQL
+from lotwise.llm.packing import pack
+from lotwise.llm.substring_dedup import remove_repeats
+from lotwise.llm.topk import top_k
+from lotwise.sources.staging import staging_path
 
 Query = Callable[[SparkSession, str], DataFrame]
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+__all__ = ["QUERIES", "SQL"]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _remainder(divisor: int):
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
+
+
+def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = "<|im_end|><|im_start|>assistant ok"
+    extra = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(both).alias("text"),
+    )
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    nodes = chat.turns_as_trees(rows)
+    formatted = chat.format_paths(chat.reply_paths(nodes), nodes)
+    return chat.digests(formatted).withColumnRenamed("tree", "conv_id")
+
+
+def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.scan(docs, secret_scan.train(secret_scan.labelled_samples(docs)))
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", count("assign"), count("access"), count("hex"),
+        F.sha2(secret_scan.joined(F.col("base")), 256).alias("base_sha256"), secret_scan.joined(F.col("spans")).alias("spans"),
+    )
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", _remainder(4) == 2)
+    net = langid.fit(docs.where("NOT held_out AND lang IS NOT NULL"))
+    found = langid.predict(docs.select("doc_id", "text"), net)
+    return found.select("doc_id", (_remainder(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = remove_repeats(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic").where(_remainder(5) != 0)
+    found = toxicity.score(docs, toxicity.fit(docs, labels))
+    return found.select(
+        "doc_id", (_remainder(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = staging_path(spark)
+    token_store.write_tokens(_table(spark, sf_dir, "documents"), path, TOKENIZER)
+    return token_store.read_tokens(spark.read.parquet(path)).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_table(spark, sf_dir, "documents"), TOKENIZER, with_ids=False).drop("ids")
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
-    "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    q.__name__: q
+    for q in (
+        op1_chat_formatting, op2_secret_scans, op3_language_id, op4_exact_topk, op5_benchmark_decontamination,
+        op6_substring_dedup, op7_toxicity, op8_token_ids, op9_packing, op10_ngram_jaccard_join,
+    )
 }
-SQL: dict[str, str] = {}
