@@ -1,21 +1,69 @@
-"""A training corpus from raw documents, in stages that are written and reread."""
+"""A training corpus from raw documents: five stages, each written as Parquet and read again by the next.
+
+The first four return the columns of ``documents``; the last one returns the packed pieces.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lotwise.llm import decontam, langid, packing, secret_scan
 from lotwise.llm.jaccard import jaccard_components
 from lotwise.sources.staging import stage
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+#: Language predictions below this probability are rejected; four languages by chance have 0.25 each.
+MIN_SCORE = 0.3
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents whose language is recognised; those without letters or with no likely language go."""
+    remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    net = langid.fit(docs.where((remainder != 2) & F.col("lang").isNotNull()).select("text", "lang"))
+    found = langid.predict(docs, net)
+    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_SCORE)).select(*docs.columns)
+
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked texts stays: the one with the smallest doc_id."""
-    found = jaccard_components(docs).where("doc_id = component_id OR component_id IS NULL")
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_semi")
+    """Keeps the document with the smallest doc_id of each group of linked texts.
+
+    Rows that repeat a doc_id and its text count once. Rows without a doc_id stay if no linked document has one.
+    """
+    found = jaccard_components(docs).where("doc_id <=> component_id").select(F.col("doc_id").alias("first_id")).distinct()
+    kept = docs.join(found, docs["doc_id"].eqNullSafe(found["first_id"]), "left_semi")
+    return kept.dropDuplicates(["doc_id", "text"])
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a passage of a benchmark item go."""
+    found = decontam.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.where(F.col("n_hit") == 0).select(*docs.columns)
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document stays; its secrets are replaced by a mark, and n_chars follows."""
+    texts = docs.select("doc_id", "text")
+    found = secret_scan.scan(docs, secret_scan.train(secret_scan.labelled_samples(texts)))
+    clean = found.withColumn("text", secret_scan.redact(F.col("text"), F.col("spans")))
+    changed = F.when(F.size("spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return clean.withColumn("n_chars", changed).select(*docs.columns)
+
+
+def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces with their token ids; every document is packed whole."""
+    return packing.pack(docs, TOKENIZER)
 
 
-STAGES = [("near duplicates", near_duplicates)]
+STAGES = [
+    ("language_id", language_id),
+    ("near_duplicates", near_duplicates),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("secret_scans", secret_scans),
+    ("packing", pack_documents),
+]
+#: The trained models and the tokenizer are beyond SQL; the tests compare with a brute-force version.
 ORACLE_SQL = None
 
 

@@ -8,7 +8,6 @@ the numbers of its words, and from them to the place in the text.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
@@ -98,29 +97,30 @@ def original_spans(text: bytes, runs: list[tuple[int, int]]) -> list[tuple[int,
     return [tuple(len(text[:at].decode()) for at in (places[a][0], places[b - 1][1])) for a, b in runs]
 
 
+_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+
 def _scan(sent, width: int):
     machines: list = []
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compute(batch: pa.RecordBatch) -> list[pa.Array]:
         if not machines:
             machines.extend(automatons(sent.value, width))
-        for batch in W.slices(batches):
-            texts = W.texts_of(batch.column("text"))
-            found = [scan(t, machines) for t in texts]
-            spans = [[{"start": a, "end": b} for a, b in original_spans(t, f[1])] for t, f in zip(texts, found)]
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id"),
-                "n_words": pa.array([f[0] for f in found], pa.int64()),
-                "n_hit": pa.array([sum(b - a for a, b in f[1]) for f in found], pa.int64()),
-                "items": pa.array([sorted(f[2]) for f in found], pa.list_(pa.string())),
-                "spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-            })
+        texts = W.texts_of(batch.column("text"))
+        found = [scan(t, machines) for t in texts]
+        spans = [[{"start": a, "end": b} for a, b in original_spans(t, f[1])] for t, f in zip(texts, found)]
+        return [
+            pa.array([f[0] for f in found], pa.int64()),
+            pa.array([sum(b - a for a, b in f[1]) for f in found], pa.int64()),
+            pa.array([sorted(f[2]) for f in found], pa.list_(pa.string())),
+            pa.array(spans, _SPANS),
+        ]
 
-    return run
+    return compute
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFrame:
-    """(doc_id, n_words, n_hit, items, spans) for every row of ``docs`` (doc_id, text); other columns are ignored.
+    """Adds n_words, n_hit, items and spans to every row of ``docs`` (text and any others; columns of these names are replaced).
 
     ``items`` are the ids, as sorted strings, of the items of ``benchmark`` (item_id, text) with a window in the text;
     ``spans`` are the hit passages in code points of the original text. The benchmark is a given set of
@@ -131,8 +131,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> Dat
     item = F.coalesce(F.col("item_id").cast("string"), F.lit(""))
     items = benchmark.where("text IS NOT NULL").select(item, F.col("text").cast("string")).toLocalIterator()
     sent = docs.sparkSession.sparkContext.broadcast([(name, text.encode()) for name, text in items])
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(
-        _scan(sent, width),
-        "doc_id long, n_words long, n_hit long, items array<string>, spans array<struct<start:long,end:long>>",
-    )
+    rows = docs.withColumn("text", F.col("text").cast("string"))
+    schema = "n_words long, n_hit long, items array<string>, spans array<struct<start:long,end:long>>"
+    return W.with_columns(rows, schema, _scan(sent, width))

@@ -158,40 +158,39 @@ def fit(labelled: DataFrame, docs: int = TRAIN_DOCS, windows: int = TRAIN_WINDOW
     return net
 
 
+def _has_letter(text: bytes) -> bool:
+    return any(c.isalpha() for c in text.decode())
+
+
 def _predict(sent):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compute(batch: pa.RecordBatch) -> list[pa.Array]:
         net: ByteConvNet = sent.value
-        for batch in W.slices(batches):
-            texts = W.texts_of(batch.column("text"))
-            letters = batch.column("letters").to_pylist()
-            grids = [cut(t) if ok else cut(b"") for t, ok in zip(texts, letters)]
-            counts = np.array([len(g) for g in grids])
-            grid = np.concatenate(grids) if grids else np.zeros((0, WINDOW), np.uint8)
-            log_p = [net.log_probabilities(np.ascontiguousarray(grid[a : a + _LANES].T)) for a in range(0, len(grid), _LANES)]
-            sums = np.concatenate([np.zeros((1, len(net.labels))), *(np.cumsum(x, axis=0, dtype=float) for x in [np.concatenate(log_p)] if log_p)]) if log_p else np.zeros((1, len(net.labels)))
-            ends = np.cumsum(counts)
-            mean = (sums[ends] - sums[ends - counts]) / np.maximum(counts, 1)[:, None]
-            p = np.exp(mean - mean.max(axis=1, keepdims=True))
-            p /= p.sum(axis=1, keepdims=True)
-            best = p.argmax(axis=1)
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id"),
-                "lang_pred": pa.array([net.labels[b] if n else "und" for b, n in zip(best.tolist(), counts.tolist())], pa.string()),
-                "score": pa.array(np.where(counts > 0, p.max(axis=1), 0.0)),
-            })
-
-    return run
+        texts = W.texts_of(batch.column("text"))
+        grids = [cut(t if _has_letter(t) else b"") for t in texts]
+        counts = np.array([len(g) for g in grids], np.int64)
+        grid = np.concatenate([np.zeros((0, WINDOW), np.uint8), *grids])
+        sums = np.zeros((len(grid) + 1, len(net.labels)))
+        for a in range(0, len(grid), _LANES):
+            sums[a + 1 : a + 1 + _LANES] = net.log_probabilities(np.ascontiguousarray(grid[a : a + _LANES].T))
+        sums = np.cumsum(sums, axis=0)
+        ends = np.cumsum(counts)
+        mean = (sums[ends] - sums[ends - counts]) / np.maximum(counts, 1)[:, None]
+        p = np.exp(mean - mean.max(axis=1, keepdims=True))
+        p /= p.sum(axis=1, keepdims=True)
+        names = [net.labels[b] if n else "und" for b, n in zip(p.argmax(axis=1).tolist(), counts.tolist())]
+        return [pa.array(names, pa.string()), pa.array(np.where(counts > 0, p.max(axis=1), 0.0))]
+
+    return compute
 
 
 def predict(docs: DataFrame, net: ByteConvNet | None) -> DataFrame:
-    """(doc_id, lang_pred, score) for every row of ``docs`` (doc_id, text; other columns are ignored).
+    """Adds lang_pred and score to every row of ``docs`` (text and any others; columns of these names are replaced).
 
     ``und`` with score 0 where the text is null or has no letter, and everywhere without a network. ``score`` is the
     probability that the network gives the language. An empty table gives no rows; repeated rows are predicted each.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = docs.withColumn("text", F.col("text").cast("string"))
     if net is None:
-        return rows.select("doc_id", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
+        return rows.withColumns({"lang_pred": F.lit("und"), "score": F.lit(0.0)})
     sent = docs.sparkSession.sparkContext.broadcast(net)
-    rows = rows.withColumn("letters", F.coalesce(F.col("text").rlike("\\p{L}"), F.lit(False)))
-    return rows.mapInArrow(_predict(sent), "doc_id long, lang_pred string, score double")
+    return W.with_columns(rows, "lang_pred string, score double", _predict(sent))

@@ -4,11 +4,11 @@ A file is a sequence of chunks. A chunk holds whole documents: a header, the doc
 token counts, and the concatenated ids in blocks of ``BLOCK``. Each block is coded on its own from a fresh model and
 carries its number of words and the CRC-32 of its ids, which is tested when it is read.
 
-The model of a block predicts ids from the last two ids, the last id and no id (a running
-majority). Their hit probabilities adapt by confidence, are mixed where predictions agree, and
-drive binary decisions of a 64-bit range coder; an id that nothing predicts takes 16 plain bits.
-All blocks of a chunk advance together as arrays, so a step of the coder is a few array
-operations.
+The model of a block predicts the id from the last two ids and from the last one, by what followed them
+before. How often that was right, by how sure it was, gives their shares of the code space, mixed where both
+predict the same id. The rest goes by order 0, the adaptive frequencies of the number of bits of an id, whose
+lower bits follow plainly. The shares drive a 64-bit range coder. All blocks of a chunk advance
+together as arrays, so that a step of the coder is a few array operations.
 
 Chunks are rows of a Parquet table (shard, before, tokens, content), which Spark writes and reads
 on any store; ``content`` is the format above.
@@ -31,113 +31,143 @@ from lotwise.llm.tokens import encoder, text_groups
 from lotwise.sources.staging import small_table
 
 MAGIC = b"LTK1"
-BLOCK = 4096
+BLOCK = 2048
 #: Tokens after which a chunk ends with the document (a longer document is one chunk).
 CHUNK_TOKENS = 1 << 22
-SLOTS = 2048
-_HIT = np.uint64(32)
-_LOW, _HIGH = 256, 65536 - 256
+SLOTS = 1024
+EVERY = 32
+_HALF, _SIXTEEN, _FULL = np.uint64(32), np.uint64(16), np.uint64(2**32)
 
 
 class _Model:
-    """Predictions and probabilities of many blocks at once; coder and decoder run the same steps."""
+    """Predictions and frequencies of many blocks at once; coder and decoder run the same steps.
+
+    A table entry is the id that followed a context last, and above it how sure that is (0 to 3). Hits are
+    counted by sureness and the frequencies follow every ``EVERY`` steps.
+    """
 
     def __init__(self, lanes: int) -> None:
+        self.lanes = lanes
         self.lane = np.arange(lanes)
         self.base = self.lane * SLOTS
-        self.two = np.zeros(lanes * SLOTS, np.int32)
-        self.one = np.zeros(lanes * SLOTS, np.int32)
-        self.major = np.zeros(lanes, np.int64)
-        self.votes = np.zeros(lanes, np.int64)
+        self.tables = [np.zeros(lanes * SLOTS, np.int32) for _ in range(2)]
         self.prev = np.zeros(lanes, np.int64)
         self.prev2 = np.zeros(lanes, np.int64)
-        # Hit probabilities in 1/65536: order 2 by its and order 1's agreement, order 1, order 0.
-        self.p2 = np.full(lanes * 8, 32768, np.int64)
-        self.p1 = np.full(lanes * 4, 32768, np.int64)
-        self.p0 = np.full(lanes, 8192, np.int64)
+        self.counts = [np.tile(np.array([1, 3]), (lanes, 4, 1)) for _ in range(2)]  # hits, all
+        self.classes = np.zeros((lanes, 17), np.int64)
+        self.seen: list[tuple[np.ndarray, ...]] = []
+        self._refresh()
+
+    def _refresh(self) -> None:
+        if self.seen:
+            for k in range(2):
+                sure = np.stack([x[k] for x in self.seen]) + self.lane * 4
+                hit = np.stack([x[2 + k] for x in self.seen])
+                size = self.lanes * 4
+                self.counts[k][..., 1] += np.bincount(sure.ravel(), minlength=size).reshape(-1, 4)
+                self.counts[k][..., 0] += np.bincount(sure[hit], minlength=size).reshape(-1, 4)
+            plain = np.stack([np.where(x[2] | x[3], -1, x[4]) for x in self.seen])
+            keys = (self.lane * 17 + plain)[plain >= 0]
+            self.classes += np.bincount(keys, minlength=self.lanes * 17).reshape(-1, 17)
+            self.seen.clear()
+        p2, p1 = ((c[..., 0] << 16) // c[..., 1] for c in self.counts)
+        # By sureness of order 2, of order 1, and whether they agree on the id: mixed where they do.
+        first = np.empty((self.lanes, 4, 4, 2), np.int64)
+        first[..., 0] = p2[:, :, None]
+        first[..., 1] = (3 * p2[:, :, None] + p1[:, None, :]) >> 2
+        first = first.clip(512, 60_000)
+        second = first + ((65536 - first) * p1[:, None, :, None] >> 16).clip(512)
+        second[..., 1] = first[..., 1]
+        self.first, self.second = first.reshape(-1), second.clip(None, 65536 - 2048).reshape(-1)
+        # Order 0: how many bits the id has; every number of bits keeps a share.
+        share = 96 + (65536 - 17 * 96) * (self.classes + 1) // (self.classes.sum(axis=1, keepdims=True) + 17)
+        self.cum = np.zeros((self.lanes, 18), np.int64)
+        np.cumsum(share, axis=1, out=self.cum[:, 1:])
+        self.cum[:, 17] = 65536
+        self.flat = self.cum.reshape(-1)
 
     def predict(self):
-        """Three (id, probability of a hit); a probability of 0 says that the id was asked for already."""
-        self.at2 = self.base + ((self.prev * 40503 + self.prev2 * 30011 >> 5) & (SLOTS - 1))
-        self.at1 = self.base + ((self.prev * 40503 >> 4) & (SLOTS - 1))
-        e2, e1 = self.two[self.at2].astype(np.int64), self.one[self.at1].astype(np.int64)
-        c2, c1, c0 = e2 & 0xFFFF, e1 & 0xFFFF, self.major
-        agree = c1 == c2
-        self.s2 = self.lane * 8 + (e2 >> 16) * 2 + agree
-        self.s1 = self.lane * 4 + (e1 >> 16)
-        q2, q1 = self.p2[self.s2], self.p1[self.s1]
-        mixed = np.where(agree, (3 * q2 + q1) >> 2, q2)
-        self.e2, self.e1 = e2, e1
-        return (
-            (c2, mixed.clip(_LOW, _HIGH)),
-            (c1, np.where(agree, 0, q1.clip(_LOW, _HIGH))),
-            (c0, np.where((c0 == c1) | (c0 == c2), 0, self.p0.clip(_LOW, _HIGH))),
-        )
-
-    def update(self, ids: np.ndarray) -> None:
-        for entry, table, at, p, state in ((self.e2, self.two, self.at2, self.p2, self.s2), (self.e1, self.one, self.at1, self.p1, self.s1)):
-            known, sure = entry & 0xFFFF, entry >> 16
-            hit = known == ids
-            p[state] += np.where(hit, 65536 - p[state], -p[state]) >> 4
-            sure = np.where(hit, np.minimum(sure + 1, 3), sure - 1)
-            table[at] = np.where(sure < 0, ids, known | np.maximum(sure, 0) << 16)
-        hit = self.major == ids
-        self.p0 += np.where(hit, 65536 - self.p0, -self.p0) >> 5
-        self.votes += np.where(hit, 1, -1)
-        lost = self.votes < 0
-        self.major = np.where(lost, ids, self.major)
-        self.votes = np.where(lost, 0, self.votes)
+        """The ids of both contexts, and the bounds of their shares in 65536."""
+        mixed = self.prev * 40503
+        self.at = (self.base + ((mixed + self.prev2 * 30011 >> 5) & (SLOTS - 1)), self.base + ((mixed >> 4) & (SLOTS - 1)))
+        self.entries = [t[at] for t, at in zip(self.tables, self.at)]
+        c2, c1 = (e & 0xFFFF for e in self.entries)
+        self.sure = [e >> 16 for e in self.entries]
+        state = self.lane * 32 + (self.sure[0] << 3) + (self.sure[1] << 1) + (c1 == c2)
+        return c2, c1, self.first[state], self.second[state]
+
+    def update(self, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, bits: np.ndarray) -> None:
+        for table, at, entry, sure, hit in zip(self.tables, self.at, self.entries, self.sure, (hit2, hit1)):
+            table[at] = np.where(hit, entry + (sure < 3) * 65536, np.where(sure > 0, entry - 65536, ids))
+        self.seen.append((*self.sure, hit2, hit1, bits))
+        if len(self.seen) == EVERY:
+            self._refresh()
         self.prev2, self.prev = self.prev, ids
 
 
+_BITS = np.array([i.bit_length() for i in range(65536)], np.int64)
+
+
 def encode_blocks(blocks: np.ndarray, sizes: np.ndarray) -> list[bytes]:
-    """Codes rows of ``blocks`` (ids below 65536), of which the first ``sizes`` ids count; sizes fall along the rows."""
+    """Codes rows of ``blocks`` (ids below 65536), of which the first ``sizes`` ids count."""
     lanes, steps = blocks.shape
-    out = np.zeros((lanes, steps * 2 + 4), np.int64)
+    columns = np.ascontiguousarray(blocks.T)
+    out = np.zeros((lanes, steps + 6), np.int64)
     used = np.zeros(lanes, np.int64)
     low = np.zeros(lanes, np.uint64)
     span = np.full(lanes, 2**64 - 1, np.uint64)
     model = _Model(lanes)
-    done = np.zeros(lanes, bool)
-
-    def add(amount: np.ndarray) -> None:
-        nonlocal low
-        new = low + amount
-        carried = np.flatnonzero(new < low)
-        out[carried, used[carried] - 1] += 1  # a carry into the word before; settled at the end
-        low = new
-
-    def shift() -> None:
-        nonlocal low, span
-        at = np.flatnonzero(span < 2**32)
-        if len(at):
-            out[at, used[at]] += (low[at] >> _HIT).astype(np.int64)
-            used[at] += 1
-            low[at] <<= _HIT
-            span[at] <<= _HIT
 
+    def shift(low: np.ndarray, span: np.ndarray, before: np.ndarray) -> None:
+        carried = np.flatnonzero(low < before)  # a carry into the word before; settled at the end
+        out[carried, used[carried] - 1] += 1
+        at = np.flatnonzero(span < _FULL)
+        word = low[at]
+        out[at, used[at]] += (word >> _HALF).astype(np.int64)
+        used[at] += 1
+        low[at] = word << _HALF
+        span[at] <<= _HALF
+
+    ended = np.zeros(lanes, bool)
+    finals: list[tuple[np.ndarray, np.ndarray]] = []
     for step in range(steps):
-        ids = blocks[:, step]
-        done[:] = step >= sizes
-        asked = ~done
-        for guess, p in model.predict():
-            ask = asked & (p > 0)
-            bound = (span >> np.uint64(16)) * p.astype(np.uint64)
-            hit = ask & (guess == ids)
-            miss = ask & ~hit
-            add(np.where(miss, bound, np.uint64(0)))
-            span = np.where(hit, bound, np.where(miss, span - bound, span))
-            shift()
-            asked = asked & ~hit
-        if asked.any():
-            part = span >> np.uint64(16)
-            add(np.where(asked, part * ids.astype(np.uint64), np.uint64(0)))
-            span = np.where(asked, part, span)
-            shift()
-        model.update(ids)
-    for k in (32, 0):
-        out[model.lane, used] += (low >> np.uint64(k)).astype(np.uint32)
-        used += 1
+        now = np.flatnonzero((sizes <= step) & ~ended)
+        if len(now):
+            ended[now] = True
+            finals.append((now, low[now]))
+            held = used.copy()
+        ids = columns[step]
+        bits = _BITS[ids]
+        c2, c1, first, second = model.predict()
+        hit2, hit1 = c2 == ids, c1 == ids
+        rest = 65536 - second
+        place = model.lane * 18 + bits
+        start = np.where(hit2, 0, np.where(hit1, first, second + (rest * model.flat[place] >> 16)))
+        stop = np.where(hit2, first, np.where(hit1, second, second + (rest * model.flat[place + 1] >> 16)))
+        part = span >> _SIXTEEN
+        before = low
+        low = low + part * start.astype(np.uint64)
+        span = part * (stop - start).astype(np.uint64)
+        shift(low, span, before)
+        # An id told by its number of bits: the bits below the highest one follow as they are.
+        more = np.where(hit2 | hit1, 0, np.maximum(bits - 1, 0))
+        part = span >> more.astype(np.uint64)
+        before = low
+        low = low + part * (ids & ((1 << more) - 1)).astype(np.uint64)
+        span = part
+        shift(low, span, before)
+        model.update(ids, hit2, hit1, bits)
+        if ended.any():  # what follows an end is not kept
+            used[ended] = held[ended]
+            low[ended], span[ended] = 0, 2**64 - 1
+    now = np.flatnonzero(~ended)
+    finals.append((now, low[now]))
+    for k in range(3):  # ended lanes wrote on behind their end
+        out[ended, used[ended] + k] = 0
+    for at, rest_low in finals:
+        for k in (32, 0):
+            out[at, used[at]] += ((rest_low >> np.uint64(k)) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+            used[at] += 1
     for k in range(out.shape[1] - 1, 0, -1):  # settle the carries, last word first
         out[:, k - 1] += out[:, k] >> 32
     words = (out & 0xFFFFFFFF).astype("<u4")
@@ -150,43 +180,48 @@ def decode_blocks(codes: list[bytes], sizes: np.ndarray) -> np.ndarray:
     words = np.zeros((lanes, widest + 3), np.uint64)
     for i, code in enumerate(codes):
         words[i, : len(code) // 4] = np.frombuffer(code, "<u4")
-    ids_out = np.zeros((lanes, steps), np.int64)
-    value = words[:, 0] << _HIT | words[:, 1]
+    ids_out = np.zeros((steps, lanes), np.int32)
+    value = words[:, 0] << _HALF | words[:, 1]
     used = np.full(lanes, 2, np.int64)
     span = np.full(lanes, 2**64 - 1, np.uint64)
     model = _Model(lanes)
 
-    def shift() -> None:
-        nonlocal value, span
-        at = np.flatnonzero(span < 2**32)
-        if len(at):
-            value[at] = value[at] << _HIT | words[at, np.minimum(used[at], widest + 2)]
-            used[at] += 1
-            span[at] <<= _HIT
-
-    for step in range(steps):
-        ids = np.zeros(lanes, np.int64)
-        asked = step < sizes
-        for guess, p in model.predict():
-            ask = asked & (p > 0)
-            bound = (span >> np.uint64(16)) * p.astype(np.uint64)
-            hit = ask & (value < bound)
-            miss = ask & ~hit
-            value = np.where(miss, value - bound, value)
-            span = np.where(hit, bound, np.where(miss, span - bound, span))
-            shift()
-            ids = np.where(hit, guess, ids)
-            asked = asked & ~hit
-        if asked.any():
-            part = span >> np.uint64(16)
-            plain = np.minimum(value // part, np.uint64(65535))
-            value = np.where(asked, value - plain * part, value)
-            span = np.where(asked, part, span)
-            shift()
-            ids = np.where(asked, plain.astype(np.int64), ids)
-        ids_out[:, step] = ids
-        model.update(ids)
-    return ids_out
+    def shift(value: np.ndarray, span: np.ndarray) -> None:
+        at = np.flatnonzero(span < _FULL)
+        value[at] = value[at] << _HALF | words[at, np.minimum(used[at], widest + 2)]
+        used[at] += 1
+        span[at] <<= _HALF
+
+    for step in range(steps):  # lanes that have ended go on with what they find; it is cut off below
+        c2, c1, first, second = model.predict()
+        part = span >> _SIXTEEN
+        target = np.minimum(value // part, np.uint64(65535)).astype(np.int64)
+        hit2 = target < first
+        hit1 = ~hit2 & (target < second)
+        rest = 65536 - second
+        plain = np.flatnonzero(target >= second)
+        r = rest[plain]
+        # The number of bits is the last whose bound, scaled to what is left, does not pass the target.
+        q = (((target[plain] - second[plain] + 1) << 16) - 1) // r
+        bits = np.zeros(lanes, np.int64)
+        bits[plain] = (model.cum[plain, 1:17] <= q[:, None]).sum(axis=1)
+        start, stop = np.where(hit2, 0, first), np.where(hit2, first, second)
+        place = plain * 18 + bits[plain]
+        start[plain] = second[plain] + (r * model.flat[place] >> 16)
+        stop[plain] = second[plain] + (r * model.flat[place + 1] >> 16)
+        value = value - part * start.astype(np.uint64)
+        span = part * (stop - start).astype(np.uint64)
+        shift(value, span)
+        more = np.maximum(bits - 1, 0)
+        part = span >> more.astype(np.uint64)
+        tail = np.minimum(value // part, ((1 << more) - 1).astype(np.uint64))
+        value = value - part * tail
+        span = part
+        shift(value, span)
+        ids = np.where(hit2, c2, np.where(hit1, c1, np.where(bits > 0, (1 << more) + tail.astype(np.int64), 0)))
+        ids_out[step] = ids
+        model.update(ids, c2 == ids, c1 == ids, _BITS[ids])
+    return ids_out.T
 
 
 def encode_chunk(doc_ids: list[int | None], counts: list[int], ids: np.ndarray) -> bytes:

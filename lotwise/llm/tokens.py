@@ -8,7 +8,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 #: Words kept between texts; beyond that the store starts anew.
-WORDS = 400_000
+WORDS = 600_000
 #: Marks that may follow a word and are encoded on their own then.
 _TRAIL = ".,;:!?#$%&*|"
 
@@ -32,41 +32,51 @@ class WordEncoder:
                 raise ValueError(f"{path} does not treat words apart")
 
     def _clear(self) -> None:
-        self.known: dict[str, int] = {"": 0}
-        self.bases: dict[str, list[int]] = {"": []}
+        # A word is a base and the marks behind it; both are parts, whose ids lie one after the other in ``ids``.
+        self.known: dict[str, int] = {}
+        self.parts: dict[str, int] = {"": 0}
+        self.pairs = np.zeros((0, 2), np.int64)
         self.ids = np.zeros(0, np.uint32)
         self.starts = np.zeros(2, np.int64)
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
+    def _split(self, word: str) -> tuple[str, str]:
+        if not word.isascii() or "<|" in word:
+            return word, ""
+        base = word.rstrip(_TRAIL)
+        if base and not base[-1].isalnum():
+            return word.lower(), ""
+        return base.lower(), word[len(base) :]
+
     def _learn(self, words: list[str]) -> None:
-        split = []
-        for word in words:
-            base = trail = ""
-            if word.isascii() and "<|" not in word:
-                base = word.rstrip(_TRAIL)
-                trail = word[len(base) :]
-                if base and not base[-1].isalnum():
-                    base, trail = word, ""
-                base = base.lower()
-            else:
-                base = word
-            split.append((base, trail))
-        new = list({part for pair in split for part in pair if part not in self.bases})
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            coded = self.tokenizer.encode("\n".join(part), add_special_tokens=False)
-            places = np.array([a for a, _ in coded.offsets], np.int64)
-            cuts = np.searchsorted(places, np.cumsum([0, *(len(w) + 1 for w in part)])).tolist()
-            ids = coded.ids
-            self.bases.update((w, ids[a:b]) for w, a, b in zip(part, cuts, cuts[1:]))
-        lists = [self.bases[base] + self.bases[trail] for base, trail in split]
-        first = len(self.starts) - 1
+        split = [self._split(word) for word in words]
+        new = {part for pair in split for part in pair if part not in self.parts}
+        # A word of letters, in lower case too, is one piece to the tokenizer, so pieces are numbered like the words.
+        plain = [w for w in new if w.isalpha() and w.lower().isalpha()]
+        other = list(new.difference(plain))
+        for at in range(0, len(plain), 10_000):
+            some = plain[at : at + 10_000]
+            coded = self.tokenizer.encode("\n".join(some), add_special_tokens=False)
+            sizes = np.bincount(np.array(coded.word_ids, np.int64), minlength=len(some))
+            if len(sizes) > len(some):
+                raise ValueError("the tokenizer cuts words of letters")
+            self._append(some, coded.ids, sizes)
+        for at in range(0, len(other), 10_000):
+            some = other[at : at + 10_000]
+            coded = [c.ids for c in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+            self._append(some, list(chain.from_iterable(coded)), np.array([len(c) for c in coded], np.int64))
+        first = len(self.known)
         self.known.update(zip(words, range(first, first + len(words))))
-        ends = np.cumsum([len(x) for x in lists], dtype=np.int64) + self.starts[-1]
-        self.starts = np.concatenate([self.starts, ends])
-        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(lists), np.uint32)])
+        index = np.fromiter((self.parts[part] for pair in split for part in pair), np.int64, 2 * len(split))
+        self.pairs = np.concatenate([self.pairs, index.reshape(-1, 2)])
+
+    def _append(self, words: list[str], ids: list[int], sizes: np.ndarray) -> None:
+        first = len(self.parts)
+        self.parts.update(zip(words, range(first, first + len(words))))
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+        self.ids = np.concatenate([self.ids, np.array(ids, np.uint32)])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
@@ -76,12 +86,12 @@ class WordEncoder:
         missing = set(words).difference(self.known)
         if missing:
             self._learn(list(missing))
-        index = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        index = self.pairs[np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))].reshape(-1)
         starts = self.starts[index]
         sizes = self.starts[index + 1] - starts
         ends = np.cumsum(sizes)
         flat = self.ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)]
-        counts = np.cumsum([len(x) for x in split]) if split else np.zeros(0, np.int64)
+        counts = 2 * np.cumsum([len(x) for x in split]) if split else np.zeros(0, np.int64)
         return np.split(flat, ends[counts[:-1] - 1]) if len(texts) else []
 
 

@@ -7,10 +7,12 @@ words as working on characters. Hashes have 64 bits; equal words have equal hash
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 _SPACES = [0x20, *range(0x09, 0x0E)]
 _MULTIPLIER = 0x9E3779B97F4A7C15 | 1
@@ -127,3 +129,15 @@ def slices(batches: Iterator[pa.RecordBatch], size: int = 8 << 20) -> Iterator[p
         rows = max(1, int(batch.num_rows * size / max(1, batch.nbytes)))
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+
+
+def with_columns(docs: DataFrame, schema: str, compute: Callable[[pa.RecordBatch], list[pa.Array]]) -> DataFrame:
+    """``docs`` and the columns of ``schema`` that ``compute`` makes of each batch; columns of these names are replaced."""
+    added = StructType.fromDDL(schema)
+    rows = docs.drop(*added.names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            yield pa.RecordBatch.from_arrays([*batch.columns, *compute(batch)], [*batch.schema.names, *added.names])
+
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, *added.fields]))
