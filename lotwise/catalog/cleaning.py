@@ -43,7 +43,8 @@ def _density(df: DataFrame) -> DataFrame:
 
 
 def _select_features(spark: SparkSession, sf: str) -> DataFrame:
-    return E.select_features(clean_table(spark, sf), ["Area", "State", "Tenure"], [S.TX])
+    picked = E.select_features(clean_table(spark, sf), ["Area", "State", "Tenure"], [S.TX, S.LOG_SIZE, S.DENSITY])
+    return picked.withColumns({S.LOG_SIZE: F.round(S.LOG_SIZE, 8), S.DENSITY: F.round(S.DENSITY, 10)})
 
 
 def _hot_sql(vocabulary: list[str], column: str = "t") -> str:
@@ -61,7 +62,7 @@ QUERIES = {
     "iqr_filter": _over(lambda d: C.iqr_filter(d, S.TARGET), S.ID, S.TARGET),
     "iqr_filter_chain": _over(C.iqr_filter_chain, S.ID, S.TARGET, S.TX),
     "standardize_text": _over(C.standardize_text, S.ID, *S.TEXT_COLUMNS),
-    "drop_identifier": lambda spark, sf: C.drop_identifier(listings(spark, sf)).drop(S.PSF),
+    "drop_identifier": lambda spark, sf: C.drop_identifier(listings(spark, sf)),
     "canonicalize_tenure": _over(lambda d: C.canonicalize_tenure(C.standardize_text(d, ["Tenure"])), S.ID, "Tenure"),
     "bucket_rare_state": _over(lambda d: C.bucket_rare_state(_many_rare(d)), S.ID, "State"),
     "bucket_rare_area": _over(C.bucket_rare_area, S.ID, "Area", "State"),
@@ -100,7 +101,7 @@ SQL = {
         f"SELECT listing_id, Median_Price, Transactions FROM c WHERE {fences_sql('c', 'Transactions')}"
     ),
     "standardize_text": on_listing(f', {TEXT_SQL} SELECT listing_id, Area, State, Tenure, "Type" FROM texts'),
-    "drop_identifier": on_listing("SELECT * EXCLUDE (Township, Median_PSF) FROM listing"),
+    "drop_identifier": on_listing("SELECT * EXCLUDE (Township) FROM listing"),
     "canonicalize_tenure": on_listing(
         f", t AS (SELECT listing_id, {text_sql('Tenure')} AS t FROM listing) "
         f"SELECT listing_id, {tenure_sql('t')} AS Tenure FROM t"
@@ -134,7 +135,8 @@ SQL = {
         f"SELECT listing_id, {_hot_sql(FIXED_VOCABULARY)} FROM t"
     ),
     "select_features": on_clean(
-        f"SELECT listing_id, Area, State, Tenure, Transactions, {', '.join(FLAGS)}, Median_Price FROM clean"
+        "SELECT listing_id, Area, State, Tenure, Transactions, round(Log_Estimated_Size, 8) AS Log_Estimated_Size, "
+        f"round(Area_Transaction_Density, 10) AS Area_Transaction_Density, {', '.join(FLAGS)}, Median_Price FROM clean"
     ),
     "filter_state": on_listing("SELECT listing_id, State, Area FROM listing WHERE State = 'NATION_3'"),
     "preprocess": on_clean(f"SELECT {CLEAN_COLUMNS_SQL} FROM clean"),

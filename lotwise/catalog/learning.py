@@ -49,7 +49,7 @@ def _fit_metrics(kind: str, params: dict):
 
 
 def _scaled(spark: SparkSession, sf: str) -> DataFrame:
-    columns = [S.TX, S.LOG_SIZE]
+    columns = [S.TX, S.LOG_SIZE, S.DENSITY]
     parameters = X.scaling_parameters(_train(spark, sf), columns)
     return rounded(X.standard_scale(split_table(spark, sf).select(S.ID, *columns), columns, parameters), 6)
 
@@ -200,6 +200,27 @@ def _metric_sql(actual: str, predicted: str, digits: int) -> str:
     )
 
 
+# The squared correlation of a 0/1 slot with the label follows from the rows and the mean label of its level.
+_SLOT_SCORES_SQL = (
+    "t AS (SELECT *, ln(1 + Median_Price) AS y FROM split WHERE split = 'train'), "
+    "a AS (SELECT count(*) AS n, avg(y) AS m, var_pop(y) AS v FROM t), levels AS ("
+    + " UNION ALL ".join(
+        f"SELECT {i} AS part, '{c}_' || {c} AS feature, {c} AS level, "
+        "count(*) * (avg(y) - any_value(m)) ** 2 / ((1 - count(*) / any_value(n)) * any_value(n) * any_value(v)) AS r2 "
+        f"FROM t, a GROUP BY {c}"
+        for i, c in enumerate(("Area", "State", "Tenure"))
+    )
+    + "), numbers AS ("
+    + " UNION ALL ".join(
+        f"SELECT {i} AS i, '{c}' AS feature, corr({c}, y) ** 2 AS r2 FROM t" for i, c in enumerate((S.TX, S.LOG_SIZE, S.DENSITY))
+    )
+    + "), flags AS ("
+    + " UNION ALL ".join(f"SELECT {i} AS i, '{c}' AS feature, corr(\"{c}\", y) ** 2 AS r2 FROM t" for i, c in enumerate(FLAGS))
+    + "), scores AS (SELECT i AS slot, feature, r2 FROM numbers UNION ALL "
+    "SELECT CAST(2 + row_number() OVER (ORDER BY part, level) AS INTEGER), feature, r2 FROM levels UNION ALL "
+    "SELECT CAST(3 + (SELECT count(*) FROM levels) + i AS INTEGER), feature, r2 FROM flags)"
+)
+
 SQL = {
     "train_test_split": f"WITH {SPLIT_SQL} SELECT listing_id, State, split FROM split",
     "kfold": on_clean(
@@ -213,7 +234,8 @@ SQL = {
         )
     ),
     "standard_scale": (
-        f"WITH {SPLIT_SQL} SELECT listing_id, {_scale_sql('Transactions')}, {_scale_sql('Log_Estimated_Size')} FROM split"
+        f"WITH {SPLIT_SQL} SELECT listing_id, {_scale_sql('Transactions')}, {_scale_sql('Log_Estimated_Size')}, "
+        f"{_scale_sql('Area_Transaction_Density')} FROM split"
     ),
     "one_hot": (
         f"WITH {SPLIT_SQL} SELECT listing_id, Area, State, Tenure, Area_s.i AS Area_slot, State_s.i AS State_slot, "
@@ -231,6 +253,7 @@ SQL = {
         )
         + " AS INTEGER) AS non_zero FROM split"
     ),
+    "select_k_best": f"WITH {SPLIT_SQL}, {_SLOT_SCORES_SQL} SELECT slot, feature FROM scores ORDER BY r2 DESC, slot LIMIT 15",
     "select_k_best_numbers": (
         f"WITH {SPLIT_SQL} SELECT feature FROM ("
         + " UNION ALL ".join(

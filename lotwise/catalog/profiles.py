@@ -14,9 +14,10 @@ TEXTS = ["Township", "Area", "State", "Tenure", "Type"]
 NUMBERS = [S.TARGET, S.PSF, S.TX]
 
 
-def _no_ids(spark: SparkSession, sf: str) -> DataFrame:
-    """Listings without the columns that make every row unique, so that rows repeat."""
-    return listings(spark, sf).select("State", "Tenure", "Type", S.TX)
+def _with_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    """All columns of the listings, and those with an even key once more, so that there is something to find."""
+    rows = listings(spark, sf)
+    return rows.unionByName(rows.where(f"{S.ID} % 2 = 0"))
 
 
 def _describe(spark: SparkSession, sf: str) -> DataFrame:
@@ -24,8 +25,8 @@ def _describe(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
-    "duplicate_count": lambda spark, sf: P.duplicate_count(_no_ids(spark, sf)),
-    "profile_summary": lambda spark, sf: P.profile_summary(_no_ids(spark, sf)),
+    "duplicate_count": lambda spark, sf: P.duplicate_count(_with_repeats(spark, sf)),
+    "profile_summary": lambda spark, sf: P.profile_summary(_with_repeats(spark, sf)),
     "nunique": lambda spark, sf: P.nunique(listings(spark, sf)),
     "null_counts": lambda spark, sf: P.null_counts(listings(spark, sf)),
     "null_counts_positive": lambda spark, sf: P.null_counts(listings(spark, sf), only_positive=True),
@@ -93,7 +94,11 @@ def _describe_sql() -> str:
     return on_listing(_UNPIVOT(rows))
 
 
-_DISTINCT_ROWS = ', g AS (SELECT State, Tenure, "Type", Transactions, count(*) AS n FROM listing GROUP BY ALL)'
+_DISTINCT_ROWS = (
+    ", twice AS (SELECT * FROM listing UNION ALL SELECT * FROM listing WHERE listing_id % 2 = 0), "
+    f"g AS (SELECT {', '.join(chr(34) + c + chr(34) for c in _EVERY)}, count(*) AS n FROM twice GROUP BY ALL)"
+)
+_MISSING = " + ".join(f'CAST("{c}" IS NULL AS INT)' for c in _EVERY)
 
 def _outliers_sql() -> str:
     rows = []
@@ -115,9 +120,8 @@ _TYPES_SQL = "SELECT listing_id, Median_Price, k AS \"Type\" FROM (" + _UNPIVOT(
 SQL = {
     "duplicate_count": on_listing(f"{_DISTINCT_ROWS} SELECT CAST(sum(n - 1) AS BIGINT) AS duplicates FROM g"),
     "profile_summary": on_listing(
-        f"{_DISTINCT_ROWS} SELECT CAST(sum(n) AS BIGINT) AS n_rows, CAST(4 AS BIGINT) AS n_columns, "
-        "CAST(sum(n - 1) AS BIGINT) AS duplicates, CAST(sum(n * (CAST(State IS NULL AS INT) + CAST(Tenure IS NULL AS INT) + "
-        'CAST("Type" IS NULL AS INT) + CAST(Transactions IS NULL AS INT))) AS BIGINT) AS nulls FROM g'
+        f"{_DISTINCT_ROWS} SELECT CAST(sum(n) AS BIGINT) AS n_rows, CAST(8 AS BIGINT) AS n_columns, "
+        f"CAST(sum(n - 1) AS BIGINT) AS duplicates, CAST(sum(n * ({_MISSING})) AS BIGINT) AS nulls FROM g"
     ),
     "nunique": on_listing(_each("SELECT '{name}' AS \"column\", count(DISTINCT {c}) AS n_unique FROM listing", _EVERY)),
     "null_counts": on_listing(

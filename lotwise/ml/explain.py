@@ -101,8 +101,9 @@ def leaf_contributions(x: np.ndarray, value: float, conditions: dict[int, tuple[
 def explain_trees(model: PipelineModel, inputs: DataFrame, key: str) -> DataFrame | None:
     """(key, feature, contribution, base_value) on the log scale; None for other models.
 
-    base_value plus all contributions of a row is its prediction. Contributions
-    of exactly 0 have no row.
+    base_value plus all contributions of a row is its prediction. Every key has a row for each
+    feature that some tree asks, also where the contribution is 0; if no tree asks
+    any, it has one row without a feature.
     """
     ensemble = tree_stage(model)
     if ensemble is None:
@@ -122,7 +123,9 @@ def explain_trees(model: PipelineModel, inputs: DataFrame, key: str) -> DataFram
     encoded = encoder.transform(inputs)
     schema = f"`{key}` {inputs.schema[key].dataType.simpleString()}, feature string, contribution double, base_value double"
     if not used:
-        return small_table(spark, [], schema)
+        return encoded.select(
+            key, F.lit(None).cast("string").alias("feature"), F.lit(0.0).alias("contribution"), F.lit(base).alias("base_value")
+        )
     sliced = VectorSlicer(inputCol="features", outputCol="_used", indices=used).transform(encoded)
     arrays = sliced.select(key, vector_to_array("_used").alias("x"))
     shared = spark.sparkContext.broadcast((leaves, names))
@@ -137,12 +140,11 @@ def explain_trees(model: PipelineModel, inputs: DataFrame, key: str) -> DataFram
             for value, conditions in leaves:
                 for feature, part in leaf_contributions(x, value, conditions).items():
                     total[:, feature] += part
-            rows, columns = np.nonzero(total)
             yield pd.DataFrame(
                 {
-                    key: batch[key].to_numpy()[rows],
-                    "feature": np.array(names, dtype=object)[columns],
-                    "contribution": total[rows, columns],
+                    key: np.repeat(batch[key].to_numpy(), len(names)),
+                    "feature": np.tile(np.array(names, dtype=object), len(x)),
+                    "contribution": total.reshape(-1),
                     "base_value": base,
                 }
             )

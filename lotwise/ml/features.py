@@ -20,7 +20,6 @@ from lotwise.operators.profile import per_column
 from lotwise.sources.staging import small_table
 
 LABEL = "log_price"
-MAX_TREE_SLOTS = 512
 
 
 @dataclass(frozen=True)
@@ -89,8 +88,7 @@ def fit_encoder(train: DataFrame, features: FeatureSet, encoding: str = "one_hot
 
     Tree learners hold every slot of every row in memory, so wide one-hot
     vectors do not scale for them. ``encoding="indexed"`` gives them one slot per
-    category column, which they split as a category; ``"auto"`` does so when the
-    one-hot form has more than MAX_TREE_SLOTS slots.
+    category column, which they split as a category. The encoding never depends on the data.
     """
     flags = S.flag_columns(train.columns)
     stages: list = [scaling_stage(train, features.numeric)]
@@ -98,9 +96,6 @@ def fit_encoder(train: DataFrame, features: FeatureSet, encoding: str = "one_hot
     if features.categorical:
         indexer = category_indexer(features.categorical).fit(train)
         stages.append(indexer)
-        if encoding == "auto":
-            slots = sum(len(labels) for labels in indexer.labelsArray)
-            encoding = "one_hot" if slots <= MAX_TREE_SLOTS else "indexed"
         if encoding == "one_hot":
             stages.append(one_hot_stages(features.categorical)[1])
             prefix = "_onehot_"

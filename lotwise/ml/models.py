@@ -72,9 +72,12 @@ def chain(*models: PipelineModel) -> PipelineModel:
 def fit_inputs(
     train: DataFrame, kind: str, encoding: str | None = None, features: FeatureSet | None = None
 ) -> tuple[PipelineModel, dict[str, Any]]:
-    """The fitted encoder of a model kind and the parameters that follow from it."""
+    """The fitted encoder of a model kind and the parameters that follow from it.
+
+    Without ``encoding`` trees get indexed categories and the other kinds one-hot ones, at every size.
+    """
     is_tree = kind in TREE_KINDS
-    encoding = encoding or ("auto" if is_tree else "one_hot")
+    encoding = encoding or ("indexed" if is_tree else "one_hot")
     encoder = fit_encoder(train, features or FEATURE_SETS[kind], encoding)
     return encoder, {"maxBins": tree_bins(encoder)} if is_tree else {}
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lotwise import schema as S
 from lotwise.functions import text as X
+from lotwise.functions.numeric import nan_as_null
 from lotwise.operators.quantiles import quantile_values
 from lotwise.sources.staging import stage
 
@@ -26,17 +27,17 @@ MIN_TYPE_ROWS = 30
 
 
 def drop_null_target(df: DataFrame, target: str = S.TARGET) -> DataFrame:
-    return df.na.drop(subset=[target])
+    return df.where(nan_as_null(F.col(target)).isNotNull())
 
 
 def impute_median(df: DataFrame, column: str = S.TX, approx: bool = False) -> DataFrame:
-    """Fill NULLs with the median of the column; a column without numbers stays NULL."""
+    """Fill NULL and NaN with the median of the column; a column without numbers stays NULL."""
     if column not in df.columns:
         return df
     median = quantile_values(df, [column], [0.5], approx).get(column)
     if median is None:
-        return df
-    return df.withColumn(column, F.coalesce(F.col(column), F.lit(median[0])))
+        return df.withColumn(column, nan_as_null(F.col(column)))
+    return df.withColumn(column, F.coalesce(nan_as_null(F.col(column)), F.lit(median[0])))
 
 
 def fences(q1: float, q3: float) -> tuple[float, float]:
@@ -135,7 +136,7 @@ def size_feature(df: DataFrame) -> DataFrame:
     """Size = price / price per area unit (NULL for a zero divisor), its log1p; the divisor goes."""
     if S.PSF not in df.columns:
         return df
-    sized = df.withColumn(S.SIZE, F.try_divide(F.col(S.TARGET), F.col(S.PSF)))
+    sized = df.withColumn(S.SIZE, F.try_divide(nan_as_null(F.col(S.TARGET)), nan_as_null(F.col(S.PSF))))
     return sized.withColumn(S.LOG_SIZE, F.log1p(S.SIZE)).drop(S.PSF)
 
 
@@ -143,7 +144,7 @@ def area_shares(df: DataFrame) -> DataFrame | None:
     """Share of every Area in all transactions; None when the total is not positive."""
     if not {"Area", S.TX} <= set(df.columns):
         return None
-    sums = stage(df.groupBy("Area").agg(F.sum(S.TX).alias("_area_tx")))
+    sums = stage(df.groupBy("Area").agg(F.sum(nan_as_null(F.col(S.TX))).alias("_area_tx")))
     total = sums.agg(F.sum("_area_tx")).first()[0]
     if total is None or total <= 0:
         return None

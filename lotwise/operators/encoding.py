@@ -23,24 +23,20 @@ TYPE_NAMES = [
     "Town House",
 ]
 
-# One column per item makes a schema, not rows; wider sets belong in `melt_types`.
-MAX_FLAG_COLUMNS = 5000
-
 
 def normalize_separator(df: DataFrame, column: str = "Type") -> DataFrame:
     return df.withColumn(column, X.normalize_separator(F.col(column))) if column in df.columns else df
 
 
-def column_names_of(items: DataFrame, column: str = "Type") -> list[str]:
+def column_names_of(items: DataFrame, column: str = "Type", at_most: int | None = None) -> list[str]:
     """Sorted values of a one-column frame of distinct items.
 
-    They become column names, so they come to the driver; their number is checked.
+    They become column names, so they come to the driver. ``at_most`` lets a caller refuse a wider schema
+    than it can use; `melt_types` gives the long form then.
     """
-    names = [r[0] for r in items.limit(MAX_FLAG_COLUMNS + 1).collect()]
-    if len(names) > MAX_FLAG_COLUMNS:
-        raise ValueError(
-            f"{column} has more than {MAX_FLAG_COLUMNS} different items; use melt_types for the long form"
-        )
+    names = [r[0] for r in (items if at_most is None else items.limit(at_most + 1)).collect()]
+    if at_most is not None and len(names) > at_most:
+        raise ValueError(f"{column} has more than {at_most} different items")
     return sorted(names)
 
 
@@ -56,7 +52,7 @@ def multi_hot(df: DataFrame, column: str = "Type", vocabulary: Sequence[str] | N
     others = [c for c in df.columns if c != column]
     cut = df.withColumn("_items", X.tokens(F.col(column)))
     flags = [F.array_contains("_items", v).cast("int").alias(f"{S.TYPE_PREFIX}{v}") for v in names]
-    return cut.select(*[F.col(c) for c in others], *flags)
+    return cut.select(*[F.col(f"`{c}`") for c in others], *flags)
 
 
 def multi_hot_fixed(df: DataFrame, column: str = "Type", vocabulary: Sequence[str] = tuple(TYPE_NAMES)) -> DataFrame:

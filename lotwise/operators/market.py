@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lotwise import schema as S
+from lotwise.functions.numeric import nan_as_null
 from lotwise.operators.encoding import melt_types
 from lotwise.operators.quantiles import exact_quantiles
 from lotwise.sources.staging import stage
@@ -45,7 +46,7 @@ def type_volume_topk(df: DataFrame, k: int = 8) -> DataFrame:
         *[
             F.struct(
                 F.lit(c[len(S.TYPE_PREFIX):]).alias("Type"),
-                F.coalesce(F.sum(F.col(f"`{c}`") * F.col(S.TX)), F.lit(0.0)).alias("volume"),
+                F.coalesce(F.sum(F.col(f"`{c}`") * nan_as_null(F.col(S.TX))), F.lit(0.0)).alias("volume"),
             ).alias(f"s{i}")
             for i, c in enumerate(flags)
         ]
@@ -64,10 +65,10 @@ def top_types_filter(df: DataFrame, k: int = 8) -> DataFrame:
 
 def lookup_table(df: DataFrame) -> DataFrame:
     """(State, Area, Transactions, density) from raw rows: median and share of the grand total."""
-    total = df.agg(F.sum(S.TX)).first()[0]
+    total = df.agg(F.sum(nan_as_null(F.col(S.TX)))).first()[0]
     keys = ["State", "Area"]
     known = df.where(F.col("State").isNotNull() & F.col("Area").isNotNull())
-    sums = known.groupBy(*keys).agg(F.coalesce(F.sum(S.TX), F.lit(0.0)).alias("_sum"))
+    sums = known.groupBy(*keys).agg(F.coalesce(F.sum(nan_as_null(F.col(S.TX))), F.lit(0.0)).alias("_sum"))
     medians = group_median(known, keys, S.TX)
     if total is not None and total > 0:
         density = F.col("_sum") / F.lit(total)
@@ -93,7 +94,7 @@ def group_total(df: DataFrame, by: str = "Area", column: str = S.TX, name: str =
     all rows of a frequent value into one task.
     """
     sums = stage(
-        df.where(F.col(by).isNotNull()).groupBy(by).agg(F.coalesce(F.sum(column), F.lit(0.0)).alias(name))
+        df.where(F.col(by).isNotNull()).groupBy(by).agg(F.coalesce(F.sum(nan_as_null(F.col(column))), F.lit(0.0)).alias(name))
     )
     return df.join(sums, by, "left").select(*df.columns, name)
 
@@ -106,5 +107,5 @@ def rare_membership(df: DataFrame, column: str, min_count: int) -> DataFrame:
 
 def share_of_total(df: DataFrame, column: str = S.TX, name: str = "share") -> DataFrame:
     """Adds value / total: a one-row total as a scalar subquery, run once."""
-    total = df.agg(F.sum(column)).scalar()
-    return df.withColumn(name, F.try_divide(F.col(column), total))
+    total = df.agg(F.sum(nan_as_null(F.col(column)))).scalar()
+    return df.withColumn(name, F.try_divide(nan_as_null(F.col(column)), total))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lotwise import schema as S
 from lotwise.functions.numeric import corrected_skewness, nan_as_null
 from lotwise.operators.quantiles import quantile_values, quantiles
+from lotwise.sources.listings import nan_to_null
 from lotwise.sources.staging import small_table, stage
 
 TOP_VALUES = 15
@@ -46,13 +47,14 @@ def text_value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def duplicate_count(df: DataFrame) -> DataFrame:
-    """Rows equal to an earlier one in all profiled columns; NULLs are equal."""
-    groups = df.groupBy(*profiled_columns(df)).agg(F.count(F.lit(1)).alias("_n"))
+    """Rows equal to an earlier one in all profiled columns; NULLs are equal, and NaN is NULL."""
+    groups = nan_to_null(df).groupBy(*profiled_columns(df)).agg(F.count(F.lit(1)).alias("_n"))
     return groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicates"))
 
 
 def profile_summary(df: DataFrame) -> DataFrame:
     columns = profiled_columns(df)
+    df = nan_to_null(df)
     groups = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
     missing = sum((_is_missing(df, c).cast("long") for c in columns), F.lit(0).cast("long"))
     return groups.agg(
@@ -64,11 +66,24 @@ def profile_summary(df: DataFrame) -> DataFrame:
 
 
 def nunique(df: DataFrame, approx: bool = False) -> DataFrame:
-    """Distinct non-null values per column."""
+    """Distinct non-null values per column; NaN is NULL, and 0.0 equals -0.0.
+
+    Numbers go through the shuffle as numbers, apart from texts.
+    """
     columns = profiled_columns(df)
+    df = nan_to_null(df)
     if approx:
         return per_column(df, columns, {"n_unique": lambda c: F.approx_count_distinct(c)})
-    counted = text_value_counts(df, columns).groupBy("column").agg(F.count(F.lit(1)).alias("n"))
+    floats = [f.name for f in df.schema if f.name in columns and f.dataType.typeName() in ("float", "double")]
+    others = [c for c in columns if c not in floats]
+    parts = []
+    if floats:
+        numbers = df.select(*[(F.col(f"`{c}`").cast("double") + F.lit(0.0)).alias(c) for c in floats])
+        long = numbers.unpivot([], floats, "column", "value").where(F.col("value").isNotNull()).distinct()
+        parts.append(long.groupBy("column").agg(F.count(F.lit(1)).alias("n")))
+    if others:
+        parts.append(text_value_counts(df, others).groupBy("column").agg(F.count(F.lit(1)).alias("n")))
+    counted = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     names = small_table(df.sparkSession, [(c,) for c in columns], "column string")
     return names.join(counted, "column", "left").select("column", F.coalesce("n", F.lit(0)).alias("n_unique"))
 

@@ -13,8 +13,7 @@ cannot serve a column of a trillion prices. Here each pass only counts:
 Every step is a hash aggregation over (group, cell), so a group with a third of
 all rows is spread over many tasks.
 
-An input that the planner's statistics bound to a few hundred thousand values
-takes ``percentile`` instead, which needs a single pass and no staged table.
+The route is the same for every size of input.
 """
 
 from __future__ import annotations
@@ -29,15 +28,6 @@ from lotwise.sources.staging import stage
 
 FINE_CELLS = 65536
 
-# Largest input, by the planner's estimate, for `percentile`: some hundred thousand
-# different values, where its single pass still beats the staged passes.
-SMALL_BYTES = 2 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Size of the frame in the planner's statistics (file sizes, and products for joins)."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
 
 def melt_numeric(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """One row (by..., column, value) per non-null number."""
@@ -175,7 +165,6 @@ def exact_quantiles(
     columns: Sequence[str],
     probs: Sequence[float],
     by: Sequence[str] = (),
-    small_bytes: int = SMALL_BYTES,
 ) -> DataFrame:
     """(by..., column, n, q): linearly interpolated quantiles, ``q`` aligned with ``probs``.
 
@@ -183,11 +172,6 @@ def exact_quantiles(
     """
     keys = [*by, "column"]
     points = melt_numeric(df, columns, by)
-    if estimated_bytes(df.select(*by, *columns)) <= small_bytes:
-        return points.groupBy(*keys).agg(
-            F.count("value").alias("n"), F.percentile("value", [float(p) for p in probs]).alias("q")
-        )
-
     wanted = _quantile_ranks(probs)
 
     # Rank `total - 1` is asked for as well: it tells the number of rows.

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lotwise import schema as S
+from lotwise.functions.numeric import nan_as_null
 from lotwise.operators import cleaning as C
 from lotwise.operators.encoding import column_names_of, multi_hot
 from lotwise.operators.quantiles import quantile_values
@@ -38,7 +39,7 @@ def preprocess(df: DataFrame, approx: bool = False) -> DataFrame:
     rows = stage(clean_rows(df))
     quartiles = quantile_values(rows, [S.TARGET, S.TX], [0.25, 0.5, 0.75], approx)
     if S.TX in quartiles:
-        rows = rows.withColumn(S.TX, F.coalesce(S.TX, F.lit(quartiles[S.TX][1])))
+        rows = rows.withColumn(S.TX, F.coalesce(nan_as_null(F.col(S.TX)), F.lit(quartiles[S.TX][1])))
     shares = C.area_shares(rows)
     if S.TARGET in quartiles:
         q1, _, q3 = quartiles[S.TARGET]
@@ -47,7 +48,10 @@ def preprocess(df: DataFrame, approx: bool = False) -> DataFrame:
     frequencies = C.category_frequencies(rows)
     # The joins come after the filters, which then stay next to the scan.
     rows = C.add_density(rows, shares)
-    rows = C.bucket_rare_state(rows, rare=C.rare_among(frequencies, "State", C.MIN_STATE_ROWS))
-    rows = C.bucket_rare_area(rows, rare=C.rare_among(frequencies, "Area", C.MIN_AREA_ROWS))
+    # Staged apart, so that the few States are planned by their own size and not by that of the Areas.
+    rare_states = stage(C.rare_among(frequencies, "State", C.MIN_STATE_ROWS))
+    rare_areas = stage(C.rare_among(frequencies, "Area", C.MIN_AREA_ROWS))
+    rows = C.bucket_rare_state(rows, rare=rare_states)
+    rows = C.bucket_rare_area(rows, rare=rare_areas)
     items = frequencies.where("column = 'Type'").select("value")
     return multi_hot(rows, vocabulary=column_names_of(items))

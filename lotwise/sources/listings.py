@@ -52,7 +52,7 @@ def with_listing_id(df: DataFrame) -> DataFrame:
 def read_clean(spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | None = None) -> DataFrame:
     require_path(spark, path)
     if fmt == "parquet":
-        return spark.read.parquet(path)
+        return nan_to_null(spark.read.parquet(path))
     if schema is None:
         raise ValueError("a CSV table needs a schema")
     return read_raw(spark, path, schema)

@@ -60,10 +60,26 @@ def test_multi_hot_agrees_with_pandas(spark):
     pd.testing.assert_frame_equal(ours.astype("int64"), theirs.astype("int64"))
 
 
-def test_multi_hot_refuses_an_unbounded_schema(spark, monkeypatch):
-    monkeypatch.setattr(E, "MAX_FLAG_COLUMNS", 2)
+def test_multi_hot_takes_any_number_of_items(spark):
+    items = [f"t{i:04d}" for i in range(5200)]
+    df = E.multi_hot(_frame(spark, [(", ".join(items),), ("t0001",)], "Type string"))
+    assert df.columns == [f"Type_{t}" for t in items]
+    assert [tuple(r) for r in df.select("Type_t0000", "Type_t0001").collect()] == [(1, 1), (0, 1)]
+
+
+def test_a_caller_can_bound_the_schema(spark):
     with pytest.raises(ValueError):
-        E.multi_hot(_frame(spark, [("a, b, c",)], "Type string"))
+        E.column_names_of(_frame(spark, [("a",), ("b",), ("c",)], "Type string"), at_most=2)
+
+
+def test_nan_counts_as_null(spark):
+    nan = float("nan")
+    rows = [("a", 10.0, 2.0), ("a", 20.0, nan), ("b", 30.0, 6.0), ("b", nan, 4.0)]
+    df = _frame(spark, rows, f"Area string, {S.TARGET} double, {S.TX} double")
+    assert _column(C.impute_median(df), S.TX) == [2.0, 4.0, 6.0, 4.0]
+    assert C.drop_null_target(df).count() == 3
+    shares = {r["Area"]: r[S.DENSITY] for r in C.area_density(df).collect()}
+    assert shares == {"a": pytest.approx(2 / 12), "b": pytest.approx(10 / 12)}
 
 
 def test_multi_hot_fixed(spark):

@@ -13,7 +13,7 @@ from lotwise import schema as S
 from lotwise.ml import explain as X
 from lotwise.ml import features as E
 from lotwise.ml import metrics as M
-from lotwise.ml.models import MODEL_NAMES, fit, load_model, predict, save_model
+from lotwise.ml.models import MODEL_NAMES, fit, fit_inputs, load_model, predict, save_model
 from lotwise.ml.search import SEARCH_SPACES, best_params_report, randomized_search, sample_points, spark_parameters
 from lotwise.ml.split import hash_split, train_test_split, with_folds
 from lotwise.plans.training import train_model
@@ -260,7 +260,7 @@ def test_only_trees_are_explained(train):
     assert X.explain_trees(fit(train, "linear"), train, S.ID) is None
 
 
-def test_wide_categories_are_indexed_for_trees(train, monkeypatch):
-    monkeypatch.setattr(E, "MAX_TREE_SLOTS", 5)
-    encoder = E.fit_encoder(train, E.FEATURE_SETS["forest"], "auto")
+def test_categories_are_indexed_for_trees(train):
+    encoder, derived = fit_inputs(train, "forest")
+    assert derived == {"maxBins": 32}
     assert "Area" in E.encoded_names(encoder) and E.tree_bins(encoder) == 32

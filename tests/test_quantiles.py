@@ -1,4 +1,4 @@
-"""Both routes of the exact quantiles against pandas."""
+"""The exact quantiles against pandas."""
 
 import numpy as np
 import pandas as pd
@@ -11,12 +11,11 @@ from lotwise.functions.numeric import log_cell
 from lotwise.operators import quantiles as Q
 
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
-ROUTES = pytest.mark.parametrize("small_bytes", [0, 2**62], ids=["counting", "single_pass"])
 
 
-def _check(spark, frame, small_bytes):
+def _check(spark, frame):
     df = spark.createDataFrame(frame)
-    found = Q.exact_quantiles(df, ["v"], PROBS, by=["g"], small_bytes=small_bytes).toPandas().set_index("g")
+    found = Q.exact_quantiles(df, ["v"], PROBS, by=["g"]).toPandas().set_index("g")
     groups = frame.dropna(subset=["v"]).groupby("g").v
     expected = groups.quantile(PROBS).unstack()
     assert sorted(found.index) == sorted(expected.index)
@@ -42,22 +41,21 @@ def _frame():
     return pd.concat([frame, missing]).sample(frac=1, random_state=1)
 
 
-@ROUTES
-def test_quantiles_of_groups(spark, small_bytes):
-    _check(spark, _frame(), small_bytes)
+def test_quantiles_of_groups(spark):
+    _check(spark, _frame())
 
 
 def test_dense_values_reach_the_last_level(spark):
     # 4,000 values inside one fine cell of a coarse cell that also has a distant value.
     close = 1e6 + np.arange(4000) * 1e-7
     frame = pd.DataFrame({"g": "a", "v": np.concatenate([close, [1e6 + 400.0, 1e6 - 100.0]])})
-    _check(spark, frame, 0)
+    _check(spark, frame)
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(values=st.lists(st.floats(-1e9, 1e9), min_size=1, max_size=60))
 def test_counting_route_on_any_values(spark, values):
-    _check(spark, pd.DataFrame({"g": "a", "v": values}), 0)
+    _check(spark, pd.DataFrame({"g": "a", "v": values}))
 
 
 def test_cells_keep_the_order(spark):
