@@ -64,7 +64,10 @@ def _spans(text: Column, kind: str, pattern: str, holds: Callable[[Column], Colu
 
 def base_spans(text: Column) -> Column:
     """All spans of the fixed patterns by start, then kind as listed; texts must not be null."""
-    found = (_spans(text, kind, pattern, lambda v, least=least: F.length(v) >= least, group) for kind, pattern, group, least in KINDS)
+    def long_enough(least: int) -> Callable[[Column], Column]:
+        return lambda value: F.length(value) >= least
+
+    found = (_spans(text, kind, pattern, long_enough(least), group) for kind, pattern, group, least in KINDS)
     return _ordered(F.concat(*found))
 
 

@@ -37,7 +37,7 @@ _LOOKALIKES = str.maketrans("аеорсухкмтнвіјѕԁԛԝαεορτυν
 _DIGITS = str.maketrans("013457", "oieast")
 _SIGNS = str.maketrans("@$", "as")
 _WITH_DIGIT = re.compile(r"\w*\d\w*")
-_SIGN_INSIDE = re.compile(r"(?<=[^\W\d_])[@$](?=[^\W\d_])")
+_SIGN_INSIDE = re.compile(r"(?<=[^\W\d_])[@$]+(?=[^\W\d_])")
 _HAS_LETTER = re.compile(r"[^\W\d_]")
 _WORD = re.compile(r"[^\W\d_]+")
 
