@@ -32,6 +32,8 @@ MIN_LENGTH = 20
 THRESHOLD = 0.7
 #: Bound of the training sample, in texts.
 TRAIN_DOCS = 2_000
+#: Weight of a character's overall frequency in its transitions, and what every character is counted in addition.
+BACK_OFF, RARE = 16.0, 0.1
 
 
 _SPAN = "array<struct<start:int,end:int,kind:string>>"
@@ -92,8 +94,8 @@ def _codes(text: Column) -> Column:
 def train(samples: DataFrame) -> list[float]:
     """Log-likelihood ratios of transitions, at index 128 * first + second character code.
 
-    ``samples`` has text and random (boolean). Transitions are counted over all rows with one added for each pair of
-    the alphabet; characters outside it are left out, as are null rows. Without samples all ratios are 0.
+    ``samples`` has text and random (boolean). Transitions are counted over all rows; characters outside the alphabet
+    are left out, as are null rows. Without samples all ratios are 0.
     """
     codes = F.filter(_codes(F.regexp_replace("text", f"[^{ALPHABET}]", "")), lambda c: c > 0)
     pairs = F.when(
@@ -104,15 +106,25 @@ def train(samples: DataFrame) -> list[float]:
         samples.where("text IS NOT NULL AND random IS NOT NULL").select("random", F.explode(pairs).alias("pair"))
         .groupBy("random", "pair").count().collect()  # two tables of the alphabet's square at most
     )
-    counts = {(r["random"], r["pair"]): r["count"] for r in counted}
     letters = [ord(c) for c in ALPHABET]
+    models = [_transitions({r["pair"]: r["count"] for r in counted if r["random"] is kind}, letters) for kind in (True, False)]
     ratios = [0.0] * (128 * 128)
+    for pair, p in models[0].items():
+        ratios[pair] = math.log(p / models[1][pair])
+    return ratios
+
+
+def _transitions(counts: dict[int, int], letters: list[int]) -> dict[int, float]:
+    """Probability of the second character after the first; characters seldom seen first fall back to all that were seen."""
+    second = {b: sum(counts.get(a * 128 + b, 0) for a in letters) for b in letters}
+    total = sum(second.values())
+    alone = {b: (second[b] + RARE) / (total + RARE * len(letters)) for b in letters}
+    out = {}
     for a in letters:
-        sums = {kind: sum(counts.get((kind, a * 128 + b), 0) + 1 for b in letters) for kind in (True, False)}
+        n = sum(counts.get(a * 128 + b, 0) for b in letters)
         for b in letters:
-            p = {kind: (counts.get((kind, a * 128 + b), 0) + 1) / sums[kind] for kind in (True, False)}
-            ratios[a * 128 + b] = math.log(p[True] / p[False])
-    return ratios
+            out[a * 128 + b] = (counts.get(a * 128 + b, 0) + BACK_OFF * alone[b]) / (n + BACK_OFF)
+    return out
 
 
 def labelled_samples(docs: DataFrame, limit: int = TRAIN_DOCS) -> DataFrame:
