@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lotwise.catalog import associations, charts, cleaning, learning, lookups, profiles, tables
+from lotwise.catalog import associations, charts, cleaning, evaluation, learning, lookups, profiles, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
-_TOPICS = (tables, cleaning, lookups, profiles, associations, charts, learning)
+_TOPICS = (tables, cleaning, lookups, profiles, associations, charts, learning, evaluation)
 
 
 def all_queries() -> dict[str, Query]:

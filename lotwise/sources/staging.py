@@ -8,6 +8,8 @@ join, whose hot partitions adaptive execution splits.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 from collections.abc import Sequence
 from uuid import uuid4
@@ -23,7 +25,7 @@ _local_roots: dict[str, str] = {}
 
 
 def staging_root(spark: SparkSession) -> str:
-    """The folder of the session, or a temporary one where a local session names none."""
+    """The folder of the session; where a local session names none, a temporary one that goes when Python ends."""
     root = spark.conf.get(_KEY, None) or spark.sparkContext.getConf().get(_KEY, None)
     if root:
         return root
@@ -32,6 +34,7 @@ def staging_root(spark: SparkSession) -> str:
     application = spark.sparkContext.applicationId
     if application not in _local_roots:
         _local_roots[application] = tempfile.mkdtemp(prefix="lotwise-")
+        atexit.register(shutil.rmtree, _local_roots[application], ignore_errors=True)
     return _local_roots[application]
 
 

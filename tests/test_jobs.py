@@ -27,6 +27,7 @@ def test_jobs(spark, folder, tmp_path, own_staging):
     main(["profile", "--input", raw, "--format", "csv", "--output", out])
     assert spark.read.parquet(f"{out}/describe").count() == 11
     assert spark.read.parquet(f"{out}/association").count() == 49
+    assert spark.read.parquet(f"{out}/summary").first()["n_columns"] == 8
 
     metrics, model = str(tmp_path / "metrics"), str(tmp_path / "model")
     main(["train", "--kind", "linear", "--input", raw, "--format", "csv", "--output", model, "--metrics", metrics])
@@ -39,3 +40,14 @@ def test_jobs(spark, folder, tmp_path, own_staging):
     main(["score", "--model", model, "--input", requests, "--lookup", f"{out}/lookup", "--output", f"{out}/scores"])
     row = spark.read.parquet(f"{out}/scores").first()
     assert row["pred_price"] > 0 and row["notes"]
+
+    boosted = str(tmp_path / "boosted")
+    main(["train", "--kind", "boosted", "--no-search", "--input", raw, "--format", "csv", "--output", boosted, "--metrics", metrics])
+    models = ["--model", f"line={model}", "--model", f"trees={boosted}", "--model", f"none={tmp_path}/none"]
+    main(["evaluate", "--input", raw, "--format", "csv", "--output", f"{out}/evaluation", *models])
+    metric_rows = {r["model"]: r["test_r2"] for r in spark.read.parquet(f"{out}/evaluation/metrics").collect()}
+    assert sorted(metric_rows) == ["line", "trees"] and spark.read.parquet(f"{out}/evaluation/trends").count() > 100
+    main(["score-all", "--input", requests, "--lookup", f"{out}/lookup", "--output", f"{out}/all", *models])
+    assert sorted(r["model"] for r in spark.read.parquet(f"{out}/all").collect()) == ["line", "trees"]
+    main(["explain", "--input", requests, "--lookup", f"{out}/lookup", "--output", f"{out}/why", *models])
+    assert spark.read.parquet(f"{out}/why/trees").where("request_id = 1").count() > 0
