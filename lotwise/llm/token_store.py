@@ -35,7 +35,7 @@ BLOCK = 2048
 #: Tokens after which a chunk ends with the document (a longer document is one chunk).
 CHUNK_TOKENS = 1 << 22
 SLOTS = 1024
-EVERY = 32
+EVERY = 64
 _HALF, _SIXTEEN, _FULL = np.uint64(32), np.uint64(16), np.uint64(2**32)
 
 
@@ -50,6 +50,7 @@ class _Model:
         self.lanes = lanes
         self.lane = np.arange(lanes)
         self.base = self.lane * SLOTS
+        self.lane18, self.lane32 = self.lane * 18, self.lane * 32
         self.tables = [np.zeros(lanes * SLOTS, np.int32) for _ in range(2)]
         self.prev = np.zeros(lanes, np.int64)
         self.prev2 = np.zeros(lanes, np.int64)
@@ -93,7 +94,7 @@ class _Model:
         self.entries = [t[at] for t, at in zip(self.tables, self.at)]
         c2, c1 = (e & 0xFFFF for e in self.entries)
         self.sure = [e >> 16 for e in self.entries]
-        state = self.lane * 32 + (self.sure[0] << 3) + (self.sure[1] << 1) + (c1 == c2)
+        state = self.lane32 + (self.sure[0] << 3) + (self.sure[1] << 1) + (c1 == c2)
         return c2, c1, self.first[state], self.second[state]
 
     def update(self, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, bits: np.ndarray) -> None:
@@ -112,6 +113,9 @@ def encode_blocks(blocks: np.ndarray, sizes: np.ndarray) -> list[bytes]:
     """Codes rows of ``blocks`` (ids below 65536), of which the first ``sizes`` ids count."""
     lanes, steps = blocks.shape
     columns = np.ascontiguousarray(blocks.T)
+    all_bits = _BITS[columns]
+    all_more = np.maximum(all_bits - 1, 0)
+    all_tails = columns & ((1 << all_more) - 1)
     out = np.zeros((lanes, steps + 6), np.int64)
     used = np.zeros(lanes, np.int64)
     low = np.zeros(lanes, np.uint64)
@@ -120,7 +124,8 @@ def encode_blocks(blocks: np.ndarray, sizes: np.ndarray) -> list[bytes]:
 
     def shift(low: np.ndarray, span: np.ndarray, before: np.ndarray) -> None:
         carried = np.flatnonzero(low < before)  # a carry into the word before; settled at the end
-        out[carried, used[carried] - 1] += 1
+        if len(carried):
+            out[carried, used[carried] - 1] += 1
         at = np.flatnonzero(span < _FULL)
         word = low[at]
         out[at, used[at]] += (word >> _HALF).astype(np.int64)
@@ -136,25 +141,19 @@ def encode_blocks(blocks: np.ndarray, sizes: np.ndarray) -> list[bytes]:
             ended[now] = True
             finals.append((now, low[now]))
             held = used.copy()
-        ids = columns[step]
-        bits = _BITS[ids]
+        ids, bits = columns[step], all_bits[step]
         c2, c1, first, second = model.predict()
         hit2, hit1 = c2 == ids, c1 == ids
         rest = 65536 - second
-        place = model.lane * 18 + bits
+        place = model.lane18 + bits
         start = np.where(hit2, 0, np.where(hit1, first, second + (rest * model.flat[place] >> 16)))
         stop = np.where(hit2, first, np.where(hit1, second, second + (rest * model.flat[place + 1] >> 16)))
         part = span >> _SIXTEEN
-        before = low
-        low = low + part * start.astype(np.uint64)
-        span = part * (stop - start).astype(np.uint64)
-        shift(low, span, before)
         # An id told by its number of bits: the bits below the highest one follow as they are.
-        more = np.where(hit2 | hit1, 0, np.maximum(bits - 1, 0))
-        part = span >> more.astype(np.uint64)
+        plain = ~(hit2 | hit1)
+        span = part * (stop - start).astype(np.uint64) >> (all_more[step] * plain).astype(np.uint64)
         before = low
-        low = low + part * (ids & ((1 << more) - 1)).astype(np.uint64)
-        span = part
+        low = low + part * start.astype(np.uint64) + span * (all_tails[step] * plain).astype(np.uint64)
         shift(low, span, before)
         model.update(ids, hit2, hit1, bits)
         if ended.any():  # what follows an end is not kept
@@ -209,14 +208,11 @@ def decode_blocks(codes: list[bytes], sizes: np.ndarray) -> np.ndarray:
         place = plain * 18 + bits[plain]
         start[plain] = second[plain] + (r * model.flat[place] >> 16)
         stop[plain] = second[plain] + (r * model.flat[place + 1] >> 16)
-        value = value - part * start.astype(np.uint64)
-        span = part * (stop - start).astype(np.uint64)
-        shift(value, span)
         more = np.maximum(bits - 1, 0)
-        part = span >> more.astype(np.uint64)
-        tail = np.minimum(value // part, ((1 << more) - 1).astype(np.uint64))
-        value = value - part * tail
-        span = part
+        value = value - part * start.astype(np.uint64)
+        span = part * (stop - start).astype(np.uint64) >> more.astype(np.uint64)
+        tail = np.minimum(value // span, ((1 << more) - 1).astype(np.uint64))
+        value = value - span * tail
         shift(value, span)
         ids = np.where(hit2, c2, np.where(hit1, c1, np.where(bits > 0, (1 << more) + tail.astype(np.int64), 0)))
         ids_out[step] = ids

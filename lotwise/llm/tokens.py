@@ -8,7 +8,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 #: Words kept between texts; beyond that the store starts anew.
-WORDS = 600_000
+WORDS = 1_500_000
 #: Marks that may follow a word and are encoded on their own then.
 _TRAIL = ".,;:!?#$%&*|"
 
@@ -35,29 +35,31 @@ class WordEncoder:
         # A word is a base and the marks behind it; both are parts, whose ids lie one after the other in ``ids``.
         self.known: dict[str, int] = {}
         self.parts: dict[str, int] = {"": 0}
-        self.pairs = np.zeros((0, 2), np.int64)
+        self.pairs = np.zeros((0, 2), np.int32)
         self.ids = np.zeros(0, np.uint32)
         self.starts = np.zeros(2, np.int64)
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _split(self, word: str) -> tuple[str, str]:
-        if not word.isascii() or "<|" in word:
-            return word, ""
-        base = word.rstrip(_TRAIL)
-        if base and not base[-1].isalnum():
-            return word.lower(), ""
-        return base.lower(), word[len(base) :]
-
     def _learn(self, words: list[str]) -> None:
-        split = [self._split(word) for word in words]
-        new = {part for pair in split for part in pair if part not in self.parts}
+        # Lower case for ASCII only: elsewhere libraries differ. Control tokens are kept as they are.
+        joined = "\n".join(words)
+        plain = [w for w in words if w.isascii()] if "<|" not in joined else [w for w in words if w.isascii() and "<|" not in w]
+        lowered = "\n".join(plain).lower().split("\n") if plain else []
+        kept = set(words).difference(plain)
+        words = [*plain, *kept]
+        whole = [*lowered, *kept]
+        bases = [w.rstrip(_TRAIL) for w in whole]
+        # The last character has to be a letter or digit in lower case too: İ ends in a mark then.
+        bases = [b if b[-1:].lower()[-1:].isalnum() and "<|" not in b else w for b, w in zip(bases, whole)]
+        trails = [w[len(b) :] for b, w in zip(bases, whole)]
+        new = set(bases).union(trails).difference(self.parts)
         # A word of letters, in lower case too, is one piece to the tokenizer, so pieces are numbered like the words.
-        plain = [w for w in new if w.isalpha() and w.lower().isalpha()]
-        other = list(new.difference(plain))
-        for at in range(0, len(plain), 10_000):
-            some = plain[at : at + 10_000]
+        letters = [w for w in new if w.isalpha() and (w.isascii() or w.lower().isalpha())]
+        other = list(new.difference(letters))
+        for at in range(0, len(letters), 10_000):
+            some = letters[at : at + 10_000]
             coded = self.tokenizer.encode("\n".join(some), add_special_tokens=False)
             sizes = np.bincount(np.array(coded.word_ids, np.int64), minlength=len(some))
             if len(sizes) > len(some):
@@ -69,8 +71,10 @@ class WordEncoder:
             self._append(some, list(chain.from_iterable(coded)), np.array([len(c) for c in coded], np.int64))
         first = len(self.known)
         self.known.update(zip(words, range(first, first + len(words))))
-        index = np.fromiter((self.parts[part] for pair in split for part in pair), np.int64, 2 * len(split))
-        self.pairs = np.concatenate([self.pairs, index.reshape(-1, 2)])
+        pairs = np.empty((len(words), 2), np.int32)
+        for k, parts in enumerate((bases, trails)):
+            pairs[:, k] = np.fromiter(map(self.parts.__getitem__, parts), np.int32, len(parts))
+        self.pairs = np.concatenate([self.pairs, pairs])
 
     def _append(self, words: list[str], ids: list[int], sizes: np.ndarray) -> None:
         first = len(self.parts)
