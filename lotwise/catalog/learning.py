@@ -117,10 +117,12 @@ def _score(spark: SparkSession, sf: str) -> DataFrame:
 
 def _score_all(spark: SparkSession, sf: str) -> DataFrame:
     train = _train(spark, sf)
-    models = {MODEL_NAMES[k]: fit(train, k, **p) for k, p in (("linear", LINEAR), ("forest", FOREST))}
+    settings = (("linear", LINEAR), ("forest", FOREST), ("boosted", BOOSTED), ("svr", SVR))
+    models = {MODEL_NAMES[k]: fit(train, k, **p) for k, p in settings}
     lookup = stage(lookup_table(listings(spark, sf)))
     scored, _ = P.score_all_models(models, requests(spark, sf), lookup)
-    return P.compare_scores(stage(scored)).select("request_id", F.array_join("notes", " | ").alias("notes"), "axis_limit")
+    limits = P.compare_scores(scored).select("request_id", F.array_join("notes", " | ").alias("notes"), "axis_limit")
+    return scored.select("request_id", "model", "pred_price").join(limits, "request_id")
 
 
 def _explain(spark: SparkSession, sf: str) -> DataFrame:

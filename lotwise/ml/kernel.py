@@ -5,8 +5,8 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark import keyword_only
-from pyspark.ml import Transformer
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml import Estimator, Transformer
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.stat import Summarizer
@@ -31,16 +31,22 @@ class RandomFourierFeatures(Transformer, HasInputCol, HasOutputCol, DefaultParam
         components = self.getOrDefault(self.components)
 
         @F.pandas_udf("array<double>")
-        def project(vectors: pd.Series) -> pd.Series:
+        def project(vectors: pd.DataFrame) -> pd.Series:
             if not len(vectors):
                 return pd.Series([], dtype=object)
-            x = np.stack(vectors.to_numpy())
+            entries = [
+                (np.arange(len(v)) if i is None else np.asarray(i), np.asarray(v))
+                for i, v in zip(vectors["indices"], vectors["values"])
+            ]
+            width = len(entries[0][1]) if vectors["indices"].iloc[0] is None else int(vectors["size"].iloc[0])
             random = np.random.default_rng(seed)
-            weights = random.normal(0.0, np.sqrt(2.0 * gamma), (x.shape[1], components))
+            weights = random.normal(0.0, np.sqrt(2.0 * gamma), (width, components))
             phases = random.uniform(0.0, 2.0 * np.pi, components)
-            return pd.Series(list(np.sqrt(2.0 / components) * np.cos(x @ weights + phases)))
+            # Only the rows of the entries that are not 0 are added up; no vector is made dense.
+            sums = np.stack([v @ weights[i] for i, v in entries])
+            return pd.Series(list(np.sqrt(2.0 / components) * np.cos(sums + phases)))
 
-        values = project(vector_to_array(F.col(self.getInputCol())))
+        values = project(F.unwrap_udt(F.col(self.getInputCol())))
         return dataset.withColumn(self.getOutputCol(), array_to_vector(values))
 
 
@@ -52,3 +58,21 @@ def scale_gamma(encoded: DataFrame, column: str = "features") -> float:
     average = float(mean.toArray().sum()) / width
     variance = float((norm.toArray() ** 2).sum()) / (n * width) - average**2
     return 1.0 / (width * variance) if variance > 0 else 1.0
+
+
+class ScaledFourierFeatures(Estimator, HasInputCol, HasOutputCol):
+    """Fits the width of the kernel to its own input, after any selection and for every fold: :func:`scale_gamma`."""
+
+    components = Param(Params._dummy(), "components", "number of output features", TypeConverters.toInt)
+
+    @keyword_only
+    def __init__(self, *, inputCol="features", outputCol="fourier", components=128):
+        super().__init__()
+        self._setDefault(inputCol="features", outputCol="fourier", components=128)
+        self._set(**self._input_kwargs)
+
+    def _fit(self, dataset: DataFrame) -> RandomFourierFeatures:
+        return RandomFourierFeatures(
+            inputCol=self.getInputCol(), outputCol=self.getOutputCol(), gamma=scale_gamma(dataset, self.getInputCol()),
+            components=self.getOrDefault(self.components),
+        )

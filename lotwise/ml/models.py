@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 
 from lotwise import schema as S
 from lotwise.ml.features import FEATURE_SETS, LABEL, FeatureSet, fit_encoder, select_k_best, tree_bins, with_label
-from lotwise.ml.kernel import RandomFourierFeatures
+from lotwise.ml.kernel import RandomFourierFeatures, ScaledFourierFeatures
 
 # The names models have in the metrics table.
 MODEL_NAMES = {
@@ -35,7 +35,8 @@ def regressor_stages(kind: str, **params: Any) -> list:
 
     ``svr`` stands in for kernel regression with an insensitive loss: optional
     feature selection (k), random Fourier features for the rbf kernel (gamma),
-    and a linear model with the robust Huber loss. ``k`` and ``gamma`` may be
+    and a linear model with the robust Huber loss. ``gamma="scale"`` is fitted to
+    the input of the kernel. ``k`` and ``gamma`` may be
     None to leave the stage out.
     """
     columns = {"labelCol": LABEL, "predictionCol": "prediction"}
@@ -54,11 +55,9 @@ def regressor_stages(kind: str, **params: Any) -> list:
             stages.append(select_k_best(k))
             column = "selected"
         if gamma is not None:
-            stages.append(
-                RandomFourierFeatures(
-                    inputCol=column, outputCol="fourier", gamma=gamma, components=options.pop("components", 128)
-                )
-            )
+            shape = {"inputCol": column, "outputCol": "fourier", "components": options.pop("components", 128)}
+            scaled = gamma == "scale"
+            stages.append(ScaledFourierFeatures(**shape) if scaled else RandomFourierFeatures(gamma=gamma, **shape))
             column = "fourier"
         stages.append(LinearRegression(featuresCol=column, loss="huber", **columns, **options))
         return [*stages, price_stage()]

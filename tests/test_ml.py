@@ -146,9 +146,9 @@ def test_randomized_search(train, kind, space):
 
 def test_svr_parameters():
     point = {"kernel": "linear", "C": 2, "epsilon": 0.1, "gamma": "scale", "k": "all"}
-    assert spark_parameters("svr", point, 100, 0.5) == {"regParam": 0.005, "epsilon": 1.1}
-    rbf = spark_parameters("svr", {**point, "kernel": "rbf", "k": 15}, 100, 0.5)
-    assert rbf["gamma"] == 0.5 and rbf["k"] == 15
+    assert spark_parameters("svr", point, 100) == {"regParam": 0.005, "epsilon": 1.1}
+    rbf = spark_parameters("svr", {**point, "kernel": "rbf", "k": 15}, 100)
+    assert rbf["gamma"] == "scale" and rbf["k"] == 15
 
 
 def test_k_best_ranks_by_correlation(spark):
