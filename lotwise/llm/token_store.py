@@ -141,6 +141,7 @@ def encode_blocks(blocks: np.ndarray, sizes: np.ndarray) -> list[bytes]:
             ended[now] = True
             finals.append((now, low[now]))
             held = used.copy()
+            low[now], span[now] = 0, 2**64 - 1  # no carry from here on reaches what was written
         ids, bits = columns[step], all_bits[step]
         c2, c1, first, second = model.predict()
         hit2, hit1 = c2 == ids, c1 == ids

@@ -262,6 +262,14 @@ def test_coder_round_trip(size):
     assert docs == [4, None] and counts.tolist() == [size, 0] and (back == ids).all()
 
 
+def test_blocks_of_many_sizes():
+    rng = np.random.default_rng(9)
+    sizes = np.sort(rng.integers(0, 90, 400))[::-1].copy()
+    blocks = np.where(rng.random((400, 90)) < 0.3, 65535, rng.integers(0, 65536, (400, 90)))
+    back = token_store.decode_blocks(token_store.encode_blocks(blocks, sizes), sizes)
+    assert all((back[i, :n] == blocks[i, :n]).all() for i, n in enumerate(sizes.tolist()))
+
+
 def test_coder_compresses_and_notices_damage():
     ids = np.tile(np.arange(300, dtype=np.uint32), 40)
     data = bytearray(token_store.encode_chunk([1], [len(ids)], ids))
