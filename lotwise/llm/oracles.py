@@ -82,9 +82,9 @@ SQL: dict[str, str] = {
           SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
         link AS (
           SELECT a, b FROM common JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * c >= 75 * (x.n + y.n - c)),
-        both AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+        sides AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
         reach AS (
-          SELECT doc_id, doc_id AS other FROM d UNION SELECT reach.doc_id, both.b FROM reach JOIN both ON reach.other = both.a)
+          SELECT doc_id, doc_id AS other FROM d UNION SELECT reach.doc_id, sides.b FROM reach JOIN sides ON reach.other = sides.a)
         SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(other) AS component_id
         FROM d LEFT JOIN n USING (doc_id) JOIN reach USING (doc_id) GROUP BY d.doc_id
     """,

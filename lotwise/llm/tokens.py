@@ -8,7 +8,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 #: Words kept between texts; beyond that the store starts anew.
-WORDS = 1_500_000
+WORDS = 500_000
 #: Marks that may follow a word and are encoded on their own then.
 _TRAIL = ".,;:!?#$%&*|"
 
@@ -109,7 +109,7 @@ def encoder(path: str) -> WordEncoder:
     return _encoders[path]
 
 
-def text_groups(texts: list[str], size: int = 2 << 20):
+def text_groups(texts: list[str], size: int = 1 << 20):
     """(first, last) of runs of texts of about ``size`` characters."""
     first, held = 0, 0
     for at, text in enumerate(texts):
