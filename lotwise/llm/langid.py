@@ -126,17 +126,12 @@ def cut(text: bytes, size: int = WINDOW) -> np.ndarray:
 
 
 def fit(labelled: DataFrame, docs: int = TRAIN_DOCS, windows: int = TRAIN_WINDOWS) -> ByteConvNet | None:
-    """Trains on at most ``docs`` rows of ``labelled`` (text, lang), chosen by a hash of the text; None without rows.
+    """Trains on at most ``docs`` texts of ``labelled`` (text, lang), chosen by a hash of the text; None without rows.
 
     Rows with a null or empty text or a null lang are left out. Only ``windows`` windows of a chosen text, spread
     over it, come to the driver.
     """
     rows = labelled.where("lang IS NOT NULL AND length(text) > 0").select("text", F.col("lang").cast("string").alias("lang"))
-    chosen = rows.withColumn("h", F.xxhash64("text")).select("h", "lang", "text")
-    bound = chosen.select("h").orderBy("h").limit(docs).agg(F.max("h")).first()[0]
-    if bound is None:
-        return None
-
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, langs = [], []
@@ -147,10 +142,11 @@ def fit(labelled: DataFrame, docs: int = TRAIN_DOCS, windows: int = TRAIN_WINDOW
                     langs.append(lang)
             yield pa.RecordBatch.from_pydict({"bytes": pa.array(texts, pa.binary()), "lang": pa.array(langs, pa.string())})
 
-    # Equal texts share a hash, so the rows are cut to the bound once more.
-    sample = chosen.where(F.col("h") <= bound).orderBy("h", "lang").limit(docs).select("lang", "text")
+    sample = W.chosen_texts(rows, docs).select("lang", "text")
     got = sample.mapInArrow(pick, "bytes binary, lang string").collect()
     pairs = sorted((bytes(r["bytes"]), r["lang"]) for r in got)
+    if not pairs:
+        return None
     labels = sorted({lang for _, lang in pairs})
     net = ByteConvNet(labels)
     grid = np.stack([np.frombuffer(b, np.uint8) for b, _ in pairs])

@@ -16,6 +16,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lotwise.llm.words import chosen_texts
+
 #: Fixed patterns: kind, expression, the group whose length counts, and its least length.
 KINDS = (
     ("assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
@@ -133,8 +135,7 @@ def labelled_samples(docs: DataFrame, limit: int = TRAIN_DOCS) -> DataFrame:
     The texts are chosen by a hash. What the fixed patterns find in them counts as random; every other word of
     at least four characters as ordinary.
     """
-    keys = docs.where("text IS NOT NULL").select(F.xxhash64("text").alias("h"), F.col("text").cast("string").alias("text"))
-    chosen = keys.orderBy("h").limit(limit)
+    chosen = chosen_texts(docs.where("text IS NOT NULL").select(F.col("text").cast("string").alias("text")), limit)
     values = F.concat(
         F.regexp_extract_all("text", F.lit(KINDS[0][1]), F.lit(2)),
         F.regexp_extract_all("text", F.lit(KINDS[1][1]), F.lit(0)),

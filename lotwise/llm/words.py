@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 _SPACES = [0x20, *range(0x09, 0x0E)]
@@ -141,3 +142,14 @@ def with_columns(docs: DataFrame, schema: str, compute: Callable[[pa.RecordBatch
             yield pa.RecordBatch.from_arrays([*batch.columns, *compute(batch)], [*batch.schema.names, *added.names])
 
     return rows.mapInArrow(run, StructType([*rows.schema.fields, *added.fields]))
+
+
+def chosen_texts(rows: DataFrame, limit: int) -> DataFrame:
+    """(h, ...) of at most ``limit`` different texts of ``rows`` (text and any others), those with the smallest hashes.
+
+    Only hashes are sorted; then one row of each chosen text stays, however often it occurs (the least values of the other columns).
+    """
+    hashed = rows.withColumn("h", F.xxhash64("text"))
+    last = hashed.select("h").distinct().orderBy("h").limit(limit).agg(F.max("h")).first()[0]
+    near = hashed.where(F.col("h") <= F.lit(last)) if last is not None else hashed.where(F.lit(False))
+    return near.groupBy("h").agg(*[F.min(c).alias(c) for c in rows.columns])
