@@ -39,13 +39,12 @@ def reply_paths(nodes: DataFrame, best: int = 1) -> DataFrame:
         higher = jump.select(
             F.col("node").alias("up"), F.col("up").alias("up2"), F.col("score").alias("score2"), F.col("depth").alias("depth2")
         )
-        jump = stage(
-            jump.join(higher, "up", "left").select(
-                "node", F.col("up2").alias("up"),
-                (F.col("score") + F.coalesce("score2", F.lit(0.0))).alias("score"),
-                (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth"),
-            )
+        # Only nodes that are still below a root are joined on, so long paths do not drag the short ones along.
+        going = jump.where("up IS NOT NULL").join(higher, "up").select(
+            "node", F.col("up2").alias("up"), (F.col("score") + F.col("score2")).alias("score"),
+            (F.col("depth") + F.col("depth2")).alias("depth"),
         )
+        jump = stage(jump.where("up IS NULL").unionByName(going))
         jumps.append(jump.where("up IS NOT NULL").select("node", "up"))
     parents = rows.where("parent IS NOT NULL").select(F.col("parent").alias("node")).distinct()
     leaves = jump.where("up IS NULL").join(parents, "node", "left_anti").join(rows.select("tree", "node"), "node")
