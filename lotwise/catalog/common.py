@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import Any
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
@@ -15,10 +18,10 @@ from lotwise.sources.staging import stage
 
 FLAGS = ["Type_Economy", "Type_Large", "Type_Medium", "Type_Promo", "Type_Small", "Type_Standard"]
 
-_memo: dict[tuple[str, str, str], DataFrame] = {}
+_memo: dict[tuple[str, str, str], Any] = {}
 
 
-def _once(name: str, spark: SparkSession, sf: str, make) -> DataFrame:
+def _once(name: str, spark: SparkSession, sf: str, make: Callable[[], Any]) -> Any:
     key = (spark.sparkContext.applicationId, name, sf)
     if key not in _memo:
         _memo[key] = make()

@@ -3,7 +3,9 @@
 import pytest
 
 import __spark_entry__ as entry_points
-from lotwise.catalog import all_queries, all_sql
+from lotwise.catalog import all_queries, all_sql, common
+from lotwise.ml.models import MODEL_NAMES, fit
+from lotwise.sources.staging import small_table
 from tests.compare import differences
 
 QUERIES, SQL = all_queries(), all_sql()
@@ -25,3 +27,23 @@ def test_entry_points(spark):
     top = entry_points.entry(spark)
     assert top.columns == ["State", "median"]
     assert top.count() == 10
+
+
+def test_queries_run_the_search_of_the_library(spark, folder, monkeypatch):
+    """All three kinds, with no other space, candidates or folds; a fit takes the model of its search."""
+    calls = []
+
+    def searched(train, kind, **options):
+        calls.append((kind, options))
+        rows = [(0, f"{kind} 0", 0.25, False), (1, f"{kind} 1", 0.5, True)]
+        return fit(train, "linear"), small_table(spark, rows, "candidate int, params string, mean_r2 double, is_best boolean")
+
+    monkeypatch.setattr("lotwise.plans.training.randomized_search", searched)
+    monkeypatch.setattr(common, "_memo", dict(common._memo))
+    for kind in ("forest", "boosted", "svr"):
+        assert [r["model"] for r in QUERIES[f"fit_{kind}"](spark, folder).collect()] == [MODEL_NAMES[kind]]
+    found = {(r["kind"], r["params"], r["is_best"]) for r in QUERIES["randomized_search"](spark, folder).collect()}
+    assert found == {(k, f"{k} {i}", i == 1) for k in ("forest", "boosted", "svr") for i in (0, 1)}
+    best = QUERIES["best_params_report"](spark, folder).collect()
+    assert {(r["kind"], r["params"]) for r in best} == {(k, f"{k} 1") for k in ("forest", "boosted", "svr")}
+    assert calls == [("forest", {}), ("boosted", {}), ("svr", {})]
