@@ -154,8 +154,27 @@ def labelled_samples(docs: DataFrame, limit: int = TRAIN_DOCS) -> DataFrame:
     return parts.select(F.explode(both).alias("s")).select("s.*")
 
 
+def _uncovered(start: Column, end: Column, base: Column) -> Column:
+    """Array of (start, end) of the parts of a range that no span of ``base`` (sorted by start) covers."""
+    gap = "array<struct<start:int,end:int>>"
+    touching = F.filter(base, lambda b: (b["start"] < end) & (start < b["end"]))
+    state = F.struct(start.alias("at"), F.array().cast(gap).alias("gaps"))
+
+    def one(a: Column, b: Column) -> Column:
+        return F.when(a < b, F.array(F.struct(a.alias("start"), b.alias("end")))).otherwise(F.array().cast(gap))
+
+    def step(seen: Column, b: Column) -> Column:
+        gaps = F.concat(seen["gaps"], one(seen["at"], b["start"]))
+        return F.struct(F.greatest(seen["at"], b["end"]).alias("at"), gaps.alias("gaps"))
+
+    return F.aggregate(touching, state, step, lambda seen: F.concat(seen["gaps"], one(seen["at"], end)))
+
+
 def markov_spans(text: Column, ratios: list[float], base: Column, least: int = MIN_LENGTH, threshold: float = THRESHOLD) -> Column:
-    """Spans of strings that look random and do not touch a span of ``base``."""
+    """Spans of strings that look random: what is left of the candidates outside the spans of ``base``, where long enough.
+
+    Every part is judged by its own characters. ``base`` is sorted by start.
+    """
     table = F.split(F.lit(",".join(f"{r:.6g}" for r in ratios)), ",").cast("array<double>")
 
     def random(value: Column) -> Column:
@@ -163,8 +182,11 @@ def markov_spans(text: Column, ratios: list[float], base: Column, least: int = M
         pairs = F.zip_with(F.slice(codes, 1, F.size(codes) - 1), F.slice(codes, 2, F.size(codes) - 1), lambda a, b: table[a * 128 + b])
         return F.aggregate(pairs, F.lit(0.0), lambda x, y: x + y) > threshold * F.size(pairs)
 
-    found = _spans(text, MARKOV, _run(CANDIDATE, least), random)
-    return F.filter(found, lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    candidates = _spans(text, MARKOV, _run(CANDIDATE, least), lambda value: F.lit(True))
+    parts = F.flatten(F.transform(candidates, lambda s: _uncovered(s["start"], s["end"], base)))
+    long_enough = F.filter(parts, lambda s: s["end"] - s["start"] >= least)
+    found = F.filter(long_enough, lambda s: random(F.substring(text, s["start"] + 1, s["end"] - s["start"])))
+    return F.transform(found, lambda s: F.struct(s["start"], s["end"], F.lit(MARKOV).alias("kind")))
 
 
 def scan(docs: DataFrame, ratios: list[float]) -> DataFrame:

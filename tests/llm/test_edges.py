@@ -156,6 +156,21 @@ def test_secret_spans(spark):
     assert secret_scan.train(spark.createDataFrame([], "text string, random boolean"))[ord("a") * 129] == 0.0
 
 
+def test_rest_of_a_string_beside_a_fixed_pattern_is_judged(spark):
+    key, plain = "pLIix6MEOLeMa61EqJomTEI1JEzO3joO", "vertionschingterverschtioning"
+    hexes, access = "507f1f77bcf86cd799439011", "AKIA" + "Q7" * 8
+    rows = [(1, f"at {hexes}/{key}"), (2, f"{access}{key.lower()}"), (3, f"{key}_token=abcdef"), (4, f"{hexes}/{plain}"), (5, f"{key}{hexes}{key}"), (6, f"{hexes}/{key[:12]}")]
+    found = secret_scan.scan(_docs(spark, rows), _ratios(spark))
+    spans = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["spans"]] for r in found.collect()}
+    assert spans[1] == [("hex", 3, 27), ("markov", 27, 60)]
+    assert spans[2] == [("access", 0, 20), ("markov", 20, 52)]
+    assert spans[3] == [("markov", 0, 33), ("assign", 33, 45)]
+    assert spans[4] == [("hex", 0, 24)] and spans[6] == [("hex", 0, 24)]
+    assert spans[5] == [("markov", 0, 32), ("hex", 32, 56), ("markov", 56, 88)]
+    clean = {r["doc_id"]: r["t"] for r in found.select("doc_id", secret_scan.redact(F.col("text"), F.col("spans")).alias("t")).collect()}
+    assert clean[1] == "at <secret><secret>" and key not in clean[3] and key not in clean[5]
+
+
 def test_redaction(spark):
     found = secret_scan.scan(_docs(spark, SECRETS), [0.0] * 128 * 128)
     clean = {r["doc_id"]: r["t"] for r in found.select("doc_id", secret_scan.redact(F.col("text"), F.col("spans")).alias("t")).collect()}
