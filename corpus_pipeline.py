@@ -27,12 +27,16 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest doc_id of each group of linked texts.
+    """Keeps one row of each group of linked texts: that with the smallest doc_id, then the least hash of the text.
 
-    Rows that repeat a doc_id and its text count once. Rows without a doc_id stay if no linked document has one.
+    Rows without a doc_id come after those with one. Rows that repeat a doc_id and its text count once.
     """
-    found = jaccard_components(docs).where("doc_id <=> component_id").select(F.col("doc_id").alias("first_id")).distinct()
-    kept = docs.join(found, docs["doc_id"].eqNullSafe(found["first_id"]), "left_semi")
+    key = F.xxhash64("doc_id", "text")
+    rows = docs.select(key.alias("row"), "doc_id", F.xxhash64("text").alias("hash")).distinct()
+    linked = jaccard_components(docs.select(key.alias("doc_id"), "text")).select(F.col("doc_id").alias("row"), "component_id").distinct()
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "hash", "row")
+    found = rows.join(linked, "row").groupBy("component_id").agg(F.min(order).alias("first")).select(F.col("first.row").alias("first_row"))
+    kept = docs.join(found, key == F.col("first_row"), "left_semi")
     return kept.dropDuplicates(["doc_id", "text"])
 
 

@@ -62,6 +62,22 @@ def test_nulls_and_repeats_pass_through(spark, folder):
     assert P.run(spark, folder).columns[:3] == ["doc_id", "start", "length"]
 
 
+def test_one_row_of_each_group_is_kept(spark, folder):
+    def text(name, end=""):
+        return " ".join(f"{name}{i}" for i in range(60)) + end
+
+    rows = [
+        (None, text("a")), (1, text("a", " more")), (None, text("b")), (None, text("c")), (None, text("c", " more")), (None, text("c")),
+        (4, text("d")), (4, text("e")), (2, text("e", " more")), (5, ""), (5, ""), (None, None),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in P.near_duplicates(spark, docs, folder).collect()]
+    third = [r for r in kept if r[1] and r[1].startswith("c0")]
+    assert len(third) == 1
+    expected = [(1, rows[1][1]), rows[2], rows[6], rows[8], (5, ""), (None, None)]
+    assert sorted(map(repr, kept)) == sorted(map(repr, [*expected, *third]))
+
+
 def test_no_secret_is_left(spark):
     docs = spark.createDataFrame([(1, "token=abcdef password: 'hunter22'")], "doc_id long, text string")
     found = secret_scan.scan(docs, [0.0] * 128 * 128)
