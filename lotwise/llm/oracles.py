@@ -88,4 +88,22 @@ SQL: dict[str, str] = {
         SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(other) AS component_id
         FROM d LEFT JOIN n USING (doc_id) JOIN reach USING (doc_id) GROUP BY d.doc_id
     """,
+    "op11_fill_in_middle": """
+        WITH d AS (
+          SELECT doc_id, coalesce(text, '') AS t, CAST(length(coalesce(text, '')) AS BIGINT) AS n,
+            sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+        k AS (
+          SELECT *, list_transform([1, 9, 17, 25], lambda p: CAST('0x' || substr(h, CAST(p AS BIGINT), 8) AS BIGINT)) AS k FROM d),
+        c AS (
+          SELECT doc_id, t, n, least(k[1] % (n + 1), k[2] % (n + 1)) AS a, greatest(k[1] % (n + 1), k[2] % (n + 1)) AS b,
+            CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR k[3] % 100 >= 90 THEN 'plain'
+              WHEN k[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM k),
+        p AS (
+          SELECT *, substr(t, 1, a) AS prefix, substr(t, a + 1, b - a) AS middle, substr(t, b + 1) AS suffix FROM c)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+          sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+            ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+          sha256(t) AS restored_sha256
+        FROM p
+    """,
 }

@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import chat, decontam, langid, secret_scan, toxicity, token_store
+from lotwise.llm import chat, decontam, langid, quality, secret_scan, toxicity, token_store
+from lotwise.llm.alignment import align
+from lotwise.llm.fill_middle import fill_in_middle, restore
 from lotwise.llm.jaccard import jaccard_components
 from lotwise.llm.oracles import SQL
 from lotwise.llm.packing import pack
@@ -18,6 +20,7 @@ from lotwise.sources.staging import staging_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_LEVEL, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
 __all__ = ["QUERIES", "SQL"]
 
@@ -102,10 +105,32 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle(_table(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align(_table(spark, sf_dir, "documents"), BYTE_LEVEL, PIECES, with_groups=False).drop("groups")
+
+
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "quality").where(_remainder(5) != 0)
+    found = quality.score(docs, quality.fit(docs, labels))
+    return found.select(
+        "doc_id", (_remainder(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
         op1_chat_formatting, op2_secret_scans, op3_language_id, op4_exact_topk, op5_benchmark_decontamination,
         op6_substring_dedup, op7_toxicity, op8_token_ids, op9_packing, op10_ngram_jaccard_join,
+        op11_fill_in_middle, op12_token_alignment, op13_quality,
     )
 }

@@ -77,3 +77,24 @@ def test_packing(spark, folder, texts):
             assert r["ids_crc32"] == brute.crc(ids[at : at + r["length"]])
             at += r["length"]
         assert at == len(ids)
+
+
+def test_alignment(spark, folder, texts):
+    found = sorted(tuple(r) for r in QUERIES["op12_token_alignment"](spark, folder).collect())
+    expected = brute.alignments([(d, texts[d]["text"]) for d in sorted(texts)])
+    assert found == [(*r[:5], *r[6:]) for r in expected]
+    assert any(r[3] for r in found) and {len(r[5]) for r in found} <= {0, 64}
+
+
+def test_quality_of_held_out_documents(spark):
+    folder = "/root/testdata/sf0.01"  # the smaller tables have too few labels to learn from
+    texts = {r[0] for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id").collect()}
+    good = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    found = QUERIES["op13_quality"](spark, folder).collect()
+    assert sorted(r["doc_id"] for r in found) == sorted(texts)
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3) for r in found)
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in found)
+    seen = [(good[r["doc_id"]], r["score"]) for r in found if r["doc_id"] in good and r["held_out"]]
+    high, low = [s for y, s in seen if y], [s for y, s in seen if not y]
+    assert np.mean([(a > b) + 0.5 * (a == b) for a in high for b in low]) > 0.9
+    assert np.mean([s >= 0.3 for s in high]) > 0.95
