@@ -25,8 +25,9 @@ GRAM = 8
 #: Sketch: rows, and cells of a row. A table of K keys gets 8 K cells, at most 2**MAX_BITS (128 MB for both rows).
 ROWS = 2
 MIN_BITS, MAX_BITS = 20, 29
-#: Windows that a task groups at once, and about how many it sends to one bucket.
-FLUSH = 1 << 21
+#: Windows that a task groups at once; bytes of text that it hashes at once, and of a batch that it sends.
+FLUSH = 1 << 18
+SLICE, SENT = 2 << 20, 4 << 20
 
 
 def _cells(keys: np.ndarray, row: int) -> np.ndarray:
@@ -78,7 +79,7 @@ def _sketch_pass(width: int):
                 "cells": pa.array(out["cells"], pa.binary()), "keys": pa.array(out["keys"], pa.int64()),
             })
 
-        for batch in W.slices(batches):
+        for batch in W.slices(batches, SLICE):
             hashes, offsets = W.word_hashes(W.texts_of(batch.column("text")), W.PLAIN)
             keys.append(_keys(hashes, offsets, width)[2])
             held += len(keys[-1])
@@ -139,7 +140,7 @@ def _window_pass(width: int, sketch, bits: int, buckets: int):
                 "starts": pa.array([*(s[a:b].tobytes() for a, b in spans), ends.tobytes()], pa.binary()),
             })
 
-        for batch in W.slices(batches):
+        for batch in W.slices(batches, SLICE):
             hashes, offsets = W.word_hashes(W.texts_of(batch.column("text")), W.PLAIN)
             at, keys, _ = _keys(hashes, offsets, width)
             likely = np.ones(len(at), bool)
@@ -153,10 +154,10 @@ def _window_pass(width: int, sketch, bits: int, buckets: int):
                 held.append((W.grams(hashes, width)[at], rows[document], (at - offsets[document]).astype(np.int32)))
                 size += len(at)
             if size > FLUSH:
-                yield flush()
+                yield from W.slices(iter([flush()]), SENT)
                 held, size = [], 0
         if size:
-            yield flush()
+            yield from W.slices(iter([flush()]), SENT)
 
     return run
 
