@@ -78,7 +78,7 @@ def _dictionary(rows: DataFrame, quality: int) -> bytes:
     """Slices of the labelled texts, as long as the number of texts allows, the first ones by hash last (nearest to the text)."""
     some = rows.where(F.col("quality") == quality)
     share = max(LEAST_SLICE, DICTIONARY // max(1, some.count()))
-    slices = some.orderBy("h").limit(DICTIONARY // LEAST_SLICE).select(F.substring("text", 1, share).alias("slice")).collect()
+    slices = some.select("h", F.substring("text", 1, share).alias("slice")).orderBy("h", "slice").limit(DICTIONARY // LEAST_SLICE).collect()
     return "\n".join(r["slice"] for r in reversed(slices)).encode()[-DICTIONARY:]
 
 
@@ -101,13 +101,15 @@ def logistic(x: np.ndarray, y: np.ndarray, steps: int = 50) -> tuple[float, floa
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Learns from ``docs`` (doc_id, text) and ``labels`` (doc_id, quality 0 or 1; other values and nulls are ignored).
 
-    Up to ``TRAIN_DOCS`` different labelled texts with the smallest hashes are used, half of them for the
-    dictionaries, half for the curve. A text that is labelled both ways counts as bad, repeated rows count once. Without labels, or with
+    The rows of up to ``TRAIN_DOCS`` labelled ids with the smallest hashes are used; the hash of a text decides whether it is for the
+    dictionaries or for the curve, so copies are on one side. An id that is labelled both ways counts as bad. Without labels, or with
     labels of one kind only, every score is 0.5 or near the one label.
     """
-    known = labels.where(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
+    known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
+    # At most ``TRAIN_DOCS`` rows of two numbers are broadcast.
+    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCS)
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).where(F.length("text") > 0)
-    sample = stage(W.chosen_texts(texts.join(known, "doc_id").select("text", "quality"), TRAIN_DOCS))
+    sample = stage(texts.join(F.broadcast(chosen), "doc_id").select("text", "quality", F.xxhash64("text").alias("h")))
     first = sample.where(F.col("h") % 2 == 0)
     good, bad = _dictionary(first, 1), _dictionary(first, 0)
     rest = differences(sample.where(F.col("h") % 2 != 0).select("text", "quality"), good, bad)
