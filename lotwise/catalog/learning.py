@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.ml import Pipeline
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotwise import schema as S
 from lotwise.catalog.common import (
-    FLAGS, SPLIT_SQL, _once, baseline, baseline_sql, on_baseline, on_clean, requests, rounded, split_table, clean_table,
+    CLEAN_SQL, FLAGS, REQUESTS_SQL, SPLIT_SQL, _once, baseline, baseline_sql, on_baseline, on_clean, requests, rounded, split_table, clean_table,
 )
 from lotwise.catalog.tables import metrics_sql
 from lotwise.fixtures import listings
@@ -19,21 +18,28 @@ from lotwise.ml import features as X
 from lotwise.ml import metrics as M
 from lotwise.ml.explain import explain_trees
 from lotwise.ml.models import MODEL_NAMES, fit, predict
-from lotwise.ml.search import best_params_report
+from lotwise.ml.search import best_params_report, spark_parameters
 from lotwise.ml.split import with_folds
 from lotwise.operators.encoding import select_features
 from lotwise.operators.market import lookup_table
 from lotwise.operators.profile import per_column
 from lotwise.plans import scoring as P
 from lotwise.plans.training import Trained, train_model
-from lotwise.sources.staging import small_table, stage
-
-# Settings of the linear model and of the models that the scoring queries fit; the queries of the
-# other kinds run the library's full search.
-LINEAR = {"maxIter": 50}
-FOREST = {"numTrees": 10, "maxDepth": 6, "minInstancesPerNode": 2, "featureSubsetStrategy": "0.35"}
+from lotwise.sources.staging import small_table, stage, staging_root
+
+#: One point of the published search space for each kind, at its full size; finding a better one is the work of ``randomized_search``.
+POINTS = {
+    "linear": {},
+    "forest": {
+        "numTrees": 600, "maxDepth": 15, "minInstancesPerNode": 5, "featureSubsetStrategy": "0.35", "subsamplingRate": 0.75, "minInfoGain": 0.002,
+    },
+    "boosted": {
+        "maxIter": 200, "maxDepth": 4, "stepSize": 0.05, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8", "minInstancesPerNode": 5,
+        "minInfoGain": 0.0,
+    },
+    "svr": {"kernel": "rbf", "C": 5, "epsilon": 0.1, "gamma": "scale", "k": "all"},
+}
 BOOSTED = {"maxIter": 10, "maxDepth": 4, "stepSize": 0.1}
-SVR = {"gamma": 0.02, "components": 64, "epsilon": 1.1, "regParam": 1e-4, "maxIter": 50}
 TUNED = ("forest", "boosted", "svr")
 
 
@@ -41,17 +47,55 @@ def _train(spark: SparkSession, sf: str) -> DataFrame:
     return split_table(spark, sf).where("split = 'train'").drop("split")
 
 
+def _model(spark: SparkSession, sf: str, kind: str) -> PipelineModel:
+    """The model of the stated point; the queries of a session share it."""
+    return _once(f"model_{kind}", spark, sf, lambda: fit(_train(spark, sf), kind, **spark_parameters(kind, POINTS[kind])))
+
+
 def _fit_linear(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(train_model(split_table(spark, sf), "linear", **LINEAR).metrics)
+    """The slope of the squared error along every column of the design: least squares is where all are 0.
 
+    One row for each level, flag and scaled number, with the train rows that have it.
+    """
+    train = _train(spark, sf)
+    numbers = [S.TX, S.LOG_SIZE, S.DENSITY]
+    scaled = X.standard_scale(train, numbers)
+    rows = predict(_model(spark, sf, "linear"), train).join(scaled.select(S.ID, *[F.col(c).alias(f"_scaled_{c}") for c in numbers]), S.ID)
+    error = F.log1p(S.TARGET) - F.log1p("pred_price")
+    one = F.lit(1.0)
+    entries = [F.struct(F.lit(c).alias("feature"), F.col(c).alias("level"), one.alias("x")) for c in ("Area", "State", "Tenure")]
+    entries += [F.struct(F.lit(c).alias("feature"), F.lit(None).cast("string").alias("level"), F.col(f"_scaled_{c}").alias("x")) for c in numbers]
+    entries += [F.struct(F.lit(c).alias("feature"), F.lit(None).cast("string").alias("level"), F.col(f"`{c}`").cast("double").alias("x")) for c in FLAGS]
+    long = rows.select(error.alias("e"), F.explode(F.array(*entries)).alias("c")).select("e", "c.*")
+    slopes = long.groupBy("feature", "level").agg(F.count(F.lit(1)).alias("n"), F.avg(F.col("e") * F.col("x")).alias("slope"))
+    # Adding 0 makes a negative zero positive.
+    return slopes.select("feature", "level", "n", (F.round("slope", 6) + 0.0).alias("slope"))
+
+
+def _fitted(kind: str):
+    """Rows, finite predictions and predictions inside the range of the train prices by split, and whether the model beats the mean."""
+
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        rows = split_table(spark, sf)
+        label, guess = F.log1p(S.TARGET), F.log1p("pred_price")
+        low, high, mean = _train(spark, sf).agg(F.min(label), F.max(label), F.avg(label)).first()
+        finite = F.col("pred_price").isNotNull() & ~F.isnan("pred_price") & (F.abs("pred_price") < float("inf"))
+        # A sum of boosted steps and a smooth curve may pass the ends a little; means of leaves may not.
+        slack = 1e-9 if kind == "forest" else (high - low) / 2
+        return predict(_model(spark, sf, kind), rows).groupBy("split").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count_if(finite).alias("finite"),
+            F.count_if(guess.between(low - slack, high + slack)).alias("in_range"),
+            (F.sum((label - guess) ** 2) < F.sum((label - F.lit(mean)) ** 2)).alias("beats_mean"),
+        )
 
-def _tuned(spark: SparkSession, sf: str, kind: str) -> Trained:
-    """The model of the full search; the queries of a session share it."""
-    return _once(f"tuned_{kind}", spark, sf, lambda: train_model(split_table(spark, sf), kind))
+    return query
 
 
-def _tuned_metrics(kind: str):
-    return lambda spark, sf: rounded(_tuned(spark, sf, kind).metrics)
+def _searched(spark: SparkSession, sf: str, kind: str) -> Trained:
+    """The full search; its scores lie below the staging root, so a stopped query goes on with the rest."""
+    options = {"scores_path": f"{staging_root(spark).rstrip('/')}/lotwise-search"}
+    return _once(f"tuned_{kind}", spark, sf, lambda: train_model(split_table(spark, sf), kind, search=options))
 
 
 def _scaled(spark: SparkSession, sf: str) -> DataFrame:
@@ -61,23 +105,26 @@ def _scaled(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _one_hot(spark: SparkSession, sf: str) -> DataFrame:
-    """Slot of the one in each vector; NULL for an Area that only test rows have."""
+    """Slot of the one in each sparse vector; NULL for an Area that only test rows have."""
     columns = ["Area", "State", "Tenure"]
-    model = Pipeline(stages=X.one_hot_stages(columns)).fit(_train(spark, sf))
+    model = Pipeline(stages=X.one_hot_stages(columns)).fit(X.with_label(_train(spark, sf)))
     rows = model.transform(split_table(spark, sf))
-    slots = []
-    for c in columns:
-        slot = F.array_position(vector_to_array(f"_onehot_{c}"), 1.0) - 1
-        slots.append(F.when(slot >= 0, slot).alias(f"{c}_slot"))
+    slots = [F.get(F.unwrap_udt(f"_onehot_{c}")["indices"], 0).cast("long").alias(f"{c}_slot") for c in columns]
     return rows.select(S.ID, *columns, *slots)
 
 
 def _assemble(spark: SparkSession, sf: str) -> DataFrame:
+    """Width, places and sum of the entries of each vector that are not 0."""
     rows = split_table(spark, sf)
     encoder = X.fit_encoder(_train(spark, sf), X.FEATURE_SETS["linear"])
-    entries = vector_to_array("features")
-    non_zero = F.size(F.filter(entries, lambda v: v != 0))
-    return encoder.transform(rows).select(S.ID, F.size(entries).alias("width"), non_zero.alias("non_zero"))
+    vector = F.unwrap_udt(F.col("features"))
+    width = F.coalesce(vector["size"], F.size(vector["values"])).alias("width")
+    places = F.coalesce(vector["indices"], F.sequence(F.lit(0), F.size(vector["values"]) - 1))
+    entry = F.explode(F.arrays_zip(places.alias("place"), vector["values"].alias("x"))).alias("e")
+    long = encoder.transform(rows).select(S.ID, width, entry).where("e.x <> 0")
+    return long.groupBy(S.ID, "width").agg(
+        F.count(F.lit(1)).alias("non_zero"), F.sum("e.place").alias("places"), (F.round(F.sum("e.x"), 6) + 0.0).alias("total")
+    )
 
 
 def _target_log(spark: SparkSession, sf: str) -> DataFrame:
@@ -89,8 +136,7 @@ def _select_k_best(spark: SparkSession, sf: str) -> DataFrame:
     train = _train(spark, sf)
     encoder = X.fit_encoder(train, X.FEATURE_SETS["svr"])
     selector = X.select_k_best(15).fit(encoder.transform(X.with_label(train)))
-    names = X.encoded_names(encoder)
-    chosen = [(i, names[i]) for i in selector.getIndices()]
+    chosen = list(X.slot_names(encoder, selector.getIndices()).items())
     return small_table(spark, chosen, "slot int, feature string")
 
 
@@ -107,12 +153,12 @@ def _feature_sets(spark: SparkSession, sf: str) -> DataFrame:
 
 def _search(spark: SparkSession, sf: str) -> DataFrame:
     """All candidates of the three kinds that are tuned."""
-    parts = [_tuned(spark, sf, kind).report.withColumn("kind", F.lit(kind)) for kind in TUNED]
+    parts = [_searched(spark, sf, kind).report.withColumn("kind", F.lit(kind)) for kind in TUNED]
     return reduce(DataFrame.unionByName, parts)
 
 
 def _best_params(spark: SparkSession, sf: str) -> DataFrame:
-    parts = [best_params_report(_tuned(spark, sf, kind).report).withColumn("kind", F.lit(kind)) for kind in TUNED]
+    parts = [best_params_report(_searched(spark, sf, kind).report).withColumn("kind", F.lit(kind)) for kind in TUNED]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -122,20 +168,21 @@ def _comparison(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _score(spark: SparkSession, sf: str) -> DataFrame:
-    model = fit(_train(spark, sf), "linear", **LINEAR)
+    """Least squares on the Area alone, whose closed form SQL has: the mean of each Area, the mean of all for others."""
+    model = fit(_train(spark, sf).drop(*FLAGS), "linear", features=X.FeatureSet(("Area",), ()))
     lookup = stage(lookup_table(listings(spark, sf)))
     scored = P.score(model, MODEL_NAMES["linear"], requests(spark, sf), lookup)
-    return scored.select("request_id", "model", "pred_price", F.array_join("notes", " | ").alias("notes"))
+    return scored.select("request_id", "model", F.round("pred_price", 4).alias("pred_price"), F.array_join("notes", " | ").alias("notes"))
 
 
 def _score_all(spark: SparkSession, sf: str) -> DataFrame:
-    train = _train(spark, sf)
-    settings = (("linear", LINEAR), ("forest", FOREST), ("boosted", BOOSTED), ("svr", SVR))
-    models = {MODEL_NAMES[k]: fit(train, k, **p) for k, p in settings}
+    """For each request and model whether a usable price came out, and the notes of all models."""
+    models = {MODEL_NAMES[k]: _model(spark, sf, k) for k in POINTS}
     lookup = stage(lookup_table(listings(spark, sf)))
     scored, _ = P.score_all_models(models, requests(spark, sf), lookup)
     limits = P.compare_scores(scored).select("request_id", F.array_join("notes", " | ").alias("notes"), "axis_limit")
-    return scored.select("request_id", "model", "pred_price").join(limits, "request_id")
+    usable = (F.col("pred_price") > 0) & (F.col("pred_price") < F.col("axis_limit"))
+    return scored.join(limits, "request_id").select("request_id", "model", usable.alias("usable"), limits["notes"])
 
 
 def _explain(spark: SparkSession, sf: str) -> DataFrame:
@@ -163,8 +210,8 @@ def _select_numbers(spark: SparkSession, sf: str) -> DataFrame:
     train = _train(spark, sf)
     encoder = X.fit_encoder(train, X.FeatureSet((), X.FEATURE_SETS["svr"].numeric))
     selector = X.select_k_best(4).fit(encoder.transform(X.with_label(train)))
-    names = X.encoded_names(encoder)
-    return small_table(spark, [(names[i],) for i in selector.getIndices()], "feature string")
+    names = X.slot_names(encoder, selector.getIndices())
+    return small_table(spark, [(n,) for n in names.values()], "feature string")
 
 
 QUERIES = {
@@ -183,9 +230,9 @@ QUERIES = {
     "model_comparison": _comparison,
     "fit_linear": _fit_linear,
     "fit_linear_one_slot": _fit_one_slot,
-    "fit_forest": _tuned_metrics("forest"),
-    "fit_boosted": _tuned_metrics("boosted"),
-    "fit_svr": _tuned_metrics("svr"),
+    "fit_forest": _fitted("forest"),
+    "fit_boosted": _fitted("boosted"),
+    "fit_svr": _fitted("svr"),
     "randomized_search": _search,
     "best_params_report": _best_params,
     "score": _score,
@@ -215,6 +262,18 @@ def _metric_sql(actual: str, predicted: str, digits: int) -> str:
     )
 
 
+_RESOLVED_SQL = (
+    "effects AS (SELECT Area, avg(ln(1 + Median_Price)) AS m FROM split WHERE split = 'train' GROUP BY Area), "
+    "remapped AS (SELECT r.*, CASE WHEN r.State IS NOT NULL AND e.Area IS NULL AND b.Area IS NOT NULL THEN b.Area ELSE r.Area END AS used, "
+    "r.Area IS NOT NULL AND r.State IS NOT NULL AND e.Area IS NULL AS is_remapped "
+    "FROM requests r LEFT JOIN effects e ON r.Area = e.Area LEFT JOIN effects b ON b.Area = 'Other_' || r.State), "
+    "resolved AS (SELECT *, CASE WHEN is_remapped THEN format('"
+    + P.NOTE_FALLBACK.replace("'", "''").replace("%s", "{}")
+    + "', Area, used) ELSE '' END AS note, CASE WHEN Estimated_Size IS NULL THEN '"
+    + (P.NOTE_FILLED % S.LOG_SIZE).replace("'", "''")
+    + "' ELSE '' END AS size_note FROM remapped)"
+)
+
 # The squared correlation of a 0/1 slot with the label follows from the rows and the mean label of its level.
 _SLOT_SCORES_SQL = (
     "t AS (SELECT *, ln(1 + Median_Price) AS y FROM split WHERE split = 'train'), "
@@ -258,15 +317,22 @@ SQL = {
         f"LEFT JOIN {_slot_sql('Tenure')}"
     ),
     "assemble": (
-        f"WITH {SPLIT_SQL}, t AS (SELECT * FROM split WHERE split = 'train') SELECT listing_id, "
-        "CAST(3 + (SELECT count(DISTINCT Area) + count(DISTINCT State) + count(DISTINCT Tenure) FROM t) "
-        f"+ {len(FLAGS)} AS INTEGER) AS width, CAST("
-        + " + ".join(
-            [f"CAST({c} <> (SELECT avg({c}) FROM t) AS INTEGER)" for c in (S.TX, S.LOG_SIZE, S.DENSITY)]
-            + [f"CAST({c} IN (SELECT {c} FROM t) AS INTEGER)" for c in ("Area", "State", "Tenure")]
-            + FLAGS
+        f"WITH {SPLIT_SQL}, t AS (SELECT * FROM split WHERE split = 'train'), "
+        "w AS (SELECT count(DISTINCT Area) AS a, count(DISTINCT State) AS s, count(DISTINCT Tenure) AS t FROM t), "
+        + "z AS (SELECT listing_id, split.Area, split.State, split.Tenure, Area_s.i AS ai, State_s.i AS si, Tenure_s.i AS ti, "
+        + ", ".join(f"({c} - (SELECT avg({c}) FROM t)) / (SELECT stddev_pop({c}) FROM t) AS z{i}" for i, c in enumerate((S.TX, S.LOG_SIZE, S.DENSITY)))
+        + ", "
+        + ", ".join(f'"{c}"' for c in FLAGS)
+        + f" FROM split LEFT JOIN {_slot_sql('Area')} LEFT JOIN {_slot_sql('State')} LEFT JOIN {_slot_sql('Tenure')}), "
+        + "e AS ("
+        + " UNION ALL ".join(
+            [f"SELECT listing_id, {i} AS place, z{i} AS x FROM z" for i in range(3)]
+            + ["SELECT listing_id, 3 + ai, 1 FROM z WHERE ai IS NOT NULL", "SELECT listing_id, 3 + a + si, 1 FROM z, w WHERE si IS NOT NULL"]
+            + ["SELECT listing_id, 3 + a + s + ti, 1 FROM z, w WHERE ti IS NOT NULL"]
+            + [f'SELECT listing_id, 3 + a + s + t + {i}, "{c}" FROM z, w' for i, c in enumerate(FLAGS)]
         )
-        + " AS INTEGER) AS non_zero FROM split"
+        + f") SELECT listing_id, CAST((SELECT 3 + a + s + t + {len(FLAGS)} FROM w) AS INTEGER) AS width, count(*) AS non_zero, "
+        "CAST(sum(place) AS BIGINT) AS places, round(sum(x), 6) AS total FROM e WHERE x <> 0 GROUP BY listing_id"
     ),
     "select_k_best": f"WITH {SPLIT_SQL}, {_SLOT_SCORES_SQL} SELECT slot, feature FROM scores ORDER BY r2 DESC, slot LIMIT 15",
     "select_k_best_numbers": (
@@ -282,6 +348,30 @@ SQL = {
         "regr_intercept(ln(1 + Median_Price), Log_Estimated_Size) AS b FROM split WHERE split = 'train') "
         "SELECT listing_id, round(b + a * Log_Estimated_Size, 6) AS log_pred FROM split, line"
     ),
+    "fit_linear": (
+        f"WITH {SPLIT_SQL}, t AS (SELECT * FROM split WHERE split = 'train'), n AS (SELECT count(*) AS n FROM t) "
+        + " UNION ALL ".join(
+            [f"SELECT '{c}' AS feature, {c} AS level, count(*) AS n, CAST(0 AS DOUBLE) AS slope FROM t GROUP BY {c}" for c in ("Area", "State", "Tenure")]
+            + [f"SELECT '{c}', NULL, n, CAST(0 AS DOUBLE) FROM n" for c in (S.TX, S.LOG_SIZE, S.DENSITY, *FLAGS)]
+        )
+    ),
+    **{
+        f"fit_{kind}": (
+            f"WITH {SPLIT_SQL} SELECT split, count(*) AS n, count(*) AS finite, count(*) AS in_range, true AS beats_mean FROM split GROUP BY split"
+        )
+        for kind in TUNED
+    },
+    "score": (
+        f"WITH {SPLIT_SQL}{REQUESTS_SQL.removeprefix(CLEAN_SQL)}, {_RESOLVED_SQL} "
+        f"SELECT request_id, '{MODEL_NAMES['linear']}' AS model, "
+        "round(exp(coalesce(u.m, (SELECT avg(ln(1 + Median_Price)) FROM split WHERE split = 'train'))) - 1, 4) AS pred_price, "
+        "note AS notes FROM resolved LEFT JOIN effects u ON used = u.Area"
+    ),
+    "score_all_models": (
+        f"WITH {SPLIT_SQL}{REQUESTS_SQL.removeprefix(CLEAN_SQL)}, {_RESOLVED_SQL} "
+        "SELECT request_id, model, true AS usable, array_to_string(list_sort(list_filter([note, size_note], lambda x: x <> '')), ' | ') AS notes "
+        "FROM resolved, (VALUES " + ", ".join(f"('{n}')" for n in MODEL_NAMES.values()) + ") m(model)"
+    ),
     "explain_trees": f"WITH {SPLIT_SQL} SELECT listing_id, true AS adds_up FROM split",
     "target_log": on_clean(
         "SELECT listing_id, round(ln(1 + Median_Price), 4) AS log_price, round(Median_Price, 4) AS price FROM clean"

@@ -20,7 +20,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.ml.features import encoded_names
+from lotwise.ml.features import slot_names
 from lotwise.sources.staging import small_table, staging_path
 
 
@@ -119,7 +119,8 @@ def explain_trees(model: PipelineModel, inputs: DataFrame, key: str) -> DataFram
     position = {f: i for i, f in enumerate(used)}
     leaves = [(v, {position[f]: cond for f, cond in c.items()}) for v, c in leaves if c]
     encoder = PipelineModel(stages=model.stages[: model.stages.index(ensemble)])
-    names = [encoded_names(encoder)[f] for f in used]
+    named = slot_names(encoder, used)
+    names = [named[f] for f in used]
     encoded = encoder.transform(inputs)
     schema = f"`{key}` {inputs.schema[key].dataType.simpleString()}, feature string, contribution double, base_value double"
     if not used:

@@ -11,11 +11,12 @@ from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler, VectorSlicer
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasLabelCol, HasOutputCol
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotwise import schema as S
+from lotwise.ml.leastsquares import BlockModel
+from lotwise.ml.levels import Levels, LevelsModel
 from lotwise.operators.profile import per_column
 from lotwise.sources.staging import small_table
 
@@ -68,11 +69,11 @@ def category_indexer(columns: Sequence[str]) -> StringIndexer:
 
 
 def one_hot_stages(columns: Sequence[str]) -> list:
-    """Unseen and NULL values get the one extra slot that the encoder drops: all zeros."""
+    """Slots by name of the level; unseen and NULL values get the one extra slot that the encoder drops: all zeros."""
     encoder = OneHotEncoder(
-        inputCols=[f"_index_{c}" for c in columns], outputCols=[f"_onehot_{c}" for c in columns]
+        inputCols=[f"_index_{c}" for c in columns], outputCols=[f"_onehot_{c}" for c in columns], handleInvalid="keep"
     )
-    return [category_indexer(columns), encoder]
+    return [Levels(inputCols=list(columns), by="name", labelCol=LABEL), encoder]
 
 
 def scaling_stage(train: DataFrame, columns: Sequence[str]) -> SQLTransformer:
@@ -83,22 +84,31 @@ def scaling_stage(train: DataFrame, columns: Sequence[str]) -> SQLTransformer:
     return SQLTransformer(statement=f"SELECT *, {scaled} FROM __THIS__")
 
 
+#: Quantile bins of a tree learner, whatever the number of levels.
+BINS = 32
+
+
 def fit_encoder(train: DataFrame, features: FeatureSet, encoding: str = "one_hot") -> PipelineModel:
     """Scaled numbers, encoded categories and flags as one vector.
 
-    Tree learners hold every slot of every row in memory, so wide one-hot
-    vectors do not scale for them. ``encoding="indexed"`` gives them one slot per
-    category column, which they split as a category. The encoding never depends on the data.
+    Tree learners hold every slot of every row in memory, so wide one-hot vectors do not scale for them.
+    ``encoding="ordered"`` gives them one number per category column, the place of the level in the order of the mean
+    label, which they split like any number; ``"indexed"`` one slot that they split as a category, with as many bins as levels.
+    ``train`` has the target, or the label already. The encoding never depends on the data.
     """
     flags = S.flag_columns(train.columns)
     stages: list = [scaling_stage(train, features.numeric)]
+    labelled = train if LABEL in train.columns else with_label(train)
     prefix = "_index_"
-    if features.categorical:
-        indexer = category_indexer(features.categorical).fit(train)
-        stages.append(indexer)
-        if encoding == "one_hot":
-            stages.append(one_hot_stages(features.categorical)[1])
-            prefix = "_onehot_"
+    if features.categorical and encoding == "indexed":
+        stages.append(category_indexer(features.categorical).fit(train))
+    elif features.categorical and encoding == "ordered":
+        stages.append(Levels(inputCols=list(features.categorical), by="label", labelCol=LABEL).fit(labelled))
+    elif features.categorical:
+        levels, encoder = one_hot_stages(features.categorical)
+        levels = levels.fit(labelled)
+        stages += [levels, encoder.fit(levels.transform(labelled))]
+        prefix = "_onehot_"
     inputs = [
         *[f"_scaled_{c}" for c in features.numeric],
         *[f"{prefix}{c}" for c in features.categorical],
@@ -108,63 +118,132 @@ def fit_encoder(train: DataFrame, features: FeatureSet, encoding: str = "one_hot
     return Pipeline(stages=stages).fit(train)
 
 
-def category_levels(model: PipelineModel) -> dict[str, list[str]]:
-    """Levels per category column, as fitted; empty without categories."""
-    for stage in model.stages:
-        if hasattr(stage, "labelsArray"):
-            return dict(zip(stage.getInputCols(), stage.labelsArray))
-    return {}
+def _levels_stage(model: PipelineModel):
+    return next((s for s in model.stages if hasattr(s, "labelsArray") or isinstance(s, (LevelsModel, BlockModel))), None)
 
 
-def tree_bins(encoder: PipelineModel) -> int:
-    """Bins that a tree learner needs: one per level of an indexed category."""
-    indexed = any(c.startswith("_index_") for c in encoder.stages[-1].getInputCols())
-    return max(32, *[len(v) + 1 for v in category_levels(encoder).values()]) if indexed else 32
+def expected_columns(model: PipelineModel) -> list[str]:
+    """Raw input columns of a fitted model: categories, numbers, flags."""
+    block = _levels_stage(model)
+    if isinstance(block, BlockModel):
+        design = block.fitted()
+        return [*design["categories"], *design["numbers"], *design["flags"]]
+    inputs = next(s for s in model.stages if type(s).__name__ == "VectorAssembler").getInputCols()
+    numbers = [c.removeprefix("_scaled_") for c in inputs if c.startswith("_scaled_")]
+    return [*category_columns(model), *numbers, *[c for c in inputs if c.startswith(S.TYPE_PREFIX)]]
 
 
-def encoded_names(encoder: PipelineModel) -> list[str]:
-    """Names of the slots of the feature vector, in order."""
-    levels = category_levels(encoder)
-    names: list[str] = []
-    for column in encoder.stages[-1].getInputCols():
-        if column.startswith("_onehot_"):
-            base = column.removeprefix("_onehot_")
-            names += [f"{base}_{level}" for level in levels[base]]
-        else:
-            names.append(column.removeprefix("_scaled_").removeprefix("_index_"))
-    return names
+def category_columns(model: PipelineModel) -> list[str]:
+    stage = _levels_stage(model)
+    if isinstance(stage, BlockModel):
+        return stage.fitted()["categories"]
+    return list(stage.getInputCols()) if stage else []
+
+
+def category_levels(model: PipelineModel) -> dict[str, list[str]]:
+    """Levels per category column of an indexed encoding; empty for the others, which keep them in a table."""
+    stage = _levels_stage(model)
+    return dict(zip(stage.getInputCols(), stage.labelsArray)) if hasattr(stage, "labelsArray") else {}
+
+
+def tree_bins(encoder: PipelineModel) -> int:
+    """Bins that a tree learner needs: one per level where it splits categories."""
+    return max(BINS, *[len(v) + 1 for v in category_levels(encoder).values()], BINS)
 
 
 def known_categories(model: PipelineModel, spark: SparkSession) -> DataFrame:
-    """(column, value) of the levels a model was fitted on."""
+    """(column, value) of the levels a model was fitted on, from the table saved beside it."""
+    stage = _levels_stage(model)
+    if isinstance(stage, LevelsModel):
+        return stage.table().select("column", "value")
+    if isinstance(stage, BlockModel):
+        design = stage.fitted()
+        small = small_table(spark, [(c, v) for c, values in design["levels"].items() for v in values], "column string, value string")
+        wide = stage.table()
+        return small if wide is None else wide.select(F.lit(design["wide"]).alias("column"), F.col("level").alias("value")).unionByName(small)
     rows = [(c, v) for c, levels in category_levels(model).items() for v in levels]
     return small_table(spark, rows, "column string, value string")
 
 
-def f_scores(df: DataFrame, features: str, label: str) -> np.ndarray:
-    """Squared correlation of every slot with the label: the F-test ranks by it.
+def _slots(encoder: PipelineModel) -> list[tuple[str, str, int]]:
+    """(input column, raw column, number of slots) in the order of the vector."""
+    stage = _levels_stage(encoder)
+    sizes = stage.size_of() if isinstance(stage, LevelsModel) else {}
+    out = []
+    for column in encoder.stages[-1].getInputCols():
+        raw = column.removeprefix("_scaled_").removeprefix("_index_").removeprefix("_onehot_")
+        out.append((column, raw, sizes[raw] if column.startswith("_onehot_") else 1))
+    return out
+
+
+def slot_names(encoder: PipelineModel, slots: Sequence[int]) -> dict[int, str]:
+    """Names of a few slots of the feature vector; only their levels are read."""
+    first, wanted, names = 0, {}, {}
+    for column, raw, size in _slots(encoder):
+        for slot in slots:
+            if first <= slot < first + size:
+                if column.startswith("_onehot_"):
+                    wanted[raw, slot - first] = slot
+                else:
+                    names[slot] = raw
+        first += size
+    if wanted:
+        chosen = [(F.col("column") == c) & (F.col("place") == float(p)) for c, p in wanted]
+        condition = chosen[0]
+        for other in chosen[1:]:
+            condition = condition | other
+        for r in _levels_stage(encoder).table().where(condition).collect():
+            names[wanted[r["column"], int(r["place"])]] = f"{r['column']}_{r['value']}"
+    return names
+
 
-    P-values of large tables are all 0, so they cannot rank. One aggregation of
-    sparse vectors; the label, shifted to be non-negative, is the weight that
-    gives the products.
+def encoded_names(encoder: PipelineModel) -> list[str]:
+    """Names of all slots of the feature vector, in order; for vectors that fit the driver."""
+    levels: dict[str, list[str]] = {}
+    slots = _slots(encoder)
+    if any(c.startswith("_onehot_") for c, _, _ in slots):
+        for r in _levels_stage(encoder).table().orderBy("column", "place").collect():
+            levels.setdefault(r["column"], []).append(r["value"])
+    out = []
+    for column, raw, _ in slots:
+        out += [f"{raw}_{v}" for v in levels.get(raw, [])] if column.startswith("_onehot_") else [raw]
+    return out
+
+
+def slot_scores(df: DataFrame, features: str, label: str) -> tuple[DataFrame, int]:
+    """((slot, score) of every slot that is not 0 everywhere, number of slots).
+
+    The score is the squared correlation with the label: the F-test ranks by it, as p-values of large tables are all
+    0. Each vector becomes one row for each of its non-zero entries, and these are added up by slot, so no
+    vector is made dense and no task holds a sum for every slot. A slot that does not vary has the score -1.
     """
-    lowest = df.agg(F.min(label)).first()[0]
-    weight = F.col(label) - F.lit(lowest)
-    plain = Summarizer.metrics("mean", "variance").summary(F.col(features))
-    weighted = Summarizer.metrics("mean").summary(F.col(features), weight)
-    row = df.agg(
-        plain.alias("x"),
-        weighted.alias("wx"),
-        F.avg(weight).alias("w"),
-        F.var_samp(weight).alias("spread"),
-        F.count(F.lit(1)).alias("n"),
+    entry = F.unwrap_udt(F.col(features))
+    n, mean, spread, width = df.agg(
+        F.count(F.lit(1)), F.avg(label), F.var_pop(label), F.max(F.coalesce(entry["size"], F.size(entry["values"])))
     ).first()
-    means, spreads = row["x"]["mean"].toArray(), row["x"]["variance"].toArray()
-    if not row["w"]:
-        return np.zeros_like(means)
-    covariance = row["w"] * (row["wx"]["mean"].toArray() - means) * row["n"] / (row["n"] - 1)
-    varies = spreads > 0
-    return np.where(varies, covariance**2 / np.where(varies, spreads * row["spread"], 1.0), -1.0)
+    indices = F.coalesce(entry["indices"], F.sequence(F.lit(0), F.size(entry["values"]) - 1))
+    pairs = df.select(F.explode(F.arrays_zip(indices.alias("slot"), entry["values"].alias("x"))).alias("e"), (F.col(label) - F.lit(mean)).alias("y"))
+    x = F.col("e.x")
+    sums = pairs.where(x != 0).groupBy(F.col("e.slot").alias("slot")).agg(
+        F.count(F.lit(1)).alias("m"), F.sum(x).alias("sx"), F.avg(x).alias("mx"), F.var_pop(x).alias("vx"), F.sum(x * F.col("y")).alias("sxy"),
+    )
+    # Population variance over all n rows from that of the m entries that are not 0.
+    share = F.col("m") / F.lit(float(n or 1))
+    variance = share * F.col("vx") + share * (1 - share) * F.col("mx") * F.col("mx")
+    # The label is centred, so the sum of the products is the covariance.
+    covariance = F.col("sxy") / F.lit(float(n or 1))
+    varies = (variance > F.lit(1e-12) * F.col("mx") * F.col("mx")) & F.lit(bool(spread))
+    score = F.when(varies, covariance * covariance / (variance * F.lit(float(spread or 1.0)))).otherwise(F.lit(-1.0))
+    return sums.select("slot", score.alias("score")), width or 0
+
+
+def f_scores(df: DataFrame, features: str, label: str) -> np.ndarray:
+    """The scores of all slots, for vectors that fit the driver."""
+    scores, width = slot_scores(df, features, label)
+    out = np.full(width, -1.0)
+    for r in scores.collect():
+        out[r["slot"]] = r["score"]
+    return out
 
 
 class KBestSelector(Estimator, HasInputCol, HasOutputCol, HasLabelCol):
@@ -179,11 +258,14 @@ class KBestSelector(Estimator, HasInputCol, HasOutputCol, HasLabelCol):
         self._setDefault(inputCol="features", outputCol="selected", labelCol=LABEL, k=10)
 
     def _fit(self, dataset: DataFrame) -> VectorSlicer:
-        scores = f_scores(dataset, self.getInputCol(), self.getOrDefault(self.labelCol))
-        best = np.argsort(-scores, kind="stable")[: self.getOrDefault(self.k)]
-        return VectorSlicer(
-            inputCol=self.getInputCol(), outputCol=self.getOutputCol(), indices=sorted(int(i) for i in best)
-        )
+        scores, width = slot_scores(dataset, self.getInputCol(), self.getOrDefault(self.labelCol))
+        k = min(self.getOrDefault(self.k), width)
+        # Ties go to the smaller slot; slots without a score come last, in their order.
+        best = [r["slot"] for r in scores.where("score >= 0").orderBy(F.desc("score"), "slot").limit(k).collect()]
+        if len(best) < k:
+            taken, rest = set(best), iter(range(width))
+            best += [i for i in rest if i not in taken][: k - len(best)]
+        return VectorSlicer(inputCol=self.getInputCol(), outputCol=self.getOutputCol(), indices=sorted(best))
 
 
 def select_k_best(k: int, output: str = "selected") -> KBestSelector:

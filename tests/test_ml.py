@@ -24,7 +24,7 @@ SMALL = {
     "linear": {},
     "forest": {"numTrees": 8, "maxDepth": 5},
     "boosted": {"maxIter": 8, "maxDepth": 3},
-    "svr": {"gamma": 0.05, "components": 64, "epsilon": 1.1, "regParam": 1e-4},
+    "svr": {"gamma": 0.05, "components": 64, "epsilon": 0.1, "C": 10.0},
 }
 
 
@@ -146,8 +146,8 @@ def test_randomized_search(train, kind, space):
 
 def test_svr_parameters():
     point = {"kernel": "linear", "C": 2, "epsilon": 0.1, "gamma": "scale", "k": "all"}
-    assert spark_parameters("svr", point, 100) == {"regParam": 0.005, "epsilon": 1.1}
-    rbf = spark_parameters("svr", {**point, "kernel": "rbf", "k": 15}, 100)
+    assert spark_parameters("svr", point) == {"C": 2.0, "epsilon": 0.1}
+    rbf = spark_parameters("svr", {**point, "kernel": "rbf", "k": 15})
     assert rbf["gamma"] == "scale" and rbf["k"] == 15
 
 
@@ -241,7 +241,7 @@ def test_leaf_contributions_match_brute_force():
 
 
 @pytest.mark.parametrize("kind", ["forest", "boosted"])
-@pytest.mark.parametrize("encoding", ["one_hot", "indexed"])
+@pytest.mark.parametrize("encoding", ["one_hot", "indexed", "ordered"])
 def test_contributions_add_up(signal, train, kind, encoding):
     model = fit(train, kind, encoding=encoding, **SMALL[kind])
     rows = signal.where("split = 'test'").drop("split")
@@ -253,7 +253,7 @@ def test_contributions_add_up(signal, train, kind, encoding):
     np.testing.assert_allclose(both.explained, both.p, rtol=1e-9)
     names = {r["feature"] for r in parts.select("feature").distinct().collect()}
     assert S.LOG_SIZE in names
-    assert ("Area" in names) == (encoding == "indexed")
+    assert ("Area" in names) == (encoding != "one_hot")
 
 
 def test_only_trees_are_explained(train):
