@@ -71,27 +71,23 @@ def format_paths(path: DataFrame, nodes: DataFrame) -> DataFrame:
     A path is one output row, so its turns meet in one task; paths do not.
     """
     role = F.replace(escape(F.coalesce("role", F.lit(""))), F.lit("\n"), F.lit("\\n"))
-    turn = F.struct(
-        "place",
-        F.concat(F.lit(OPEN), role, F.lit("\n")).alias("head"),
-        escape(F.coalesce("text", F.lit(""))).alias("body"),
-        (F.coalesce("role", F.lit("")) == LEARNED).alias("learned"),
+    body = escape(F.coalesce("text", F.lit("")))
+    head, tail = F.concat(F.lit(OPEN), role, F.lit("\n")), F.lit(CLOSE + "\n")
+    told = path.join(nodes.select("node", "role", "text"), "node").select(
+        "tree", "leaf", "place", head.alias("head"), body.alias("body"), (F.coalesce("role", F.lit("")) == LEARNED).alias("learned")
     )
-    joined = path.join(nodes.select("node", "role", "text"), "node")
-    turns = joined.groupBy("tree", "leaf").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
-    tail = F.lit(CLOSE + "\n")
+    # Where a turn begins is a running sum over the path, not an array that grows turn by turn.
+    before = Window.partitionBy("tree", "leaf").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    size = F.length("head") + F.length("body") + F.length(tail)
+    placed = told.withColumn("at", F.coalesce(F.sum(size).over(before), F.lit(0)) + F.length("head"))
+    turn = F.struct("place", "head", "body", "learned", F.col("at").cast("int").alias("at"))
+    turns = placed.groupBy("tree", "leaf").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
     formatted = F.array_join(F.transform("turns", lambda t: F.concat(t["head"], t["body"], tail)), "")
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("mask"))
-
-    def step(state: Column, t: Column) -> Column:
-        first = state["at"] + F.length(t["head"])
-        last = first + F.length(t["body"])
-        span = F.array(F.struct(first.alias("start"), last.alias("end")))
-        return F.struct(
-            (last + len(CLOSE) + 1).alias("at"), F.when(t["learned"], F.concat(state["mask"], span)).otherwise(state["mask"]).alias("mask")
-        )
-
-    return turns.select("tree", "leaf", formatted.alias("formatted"), F.aggregate("turns", start, step, lambda s: s["mask"]).alias("mask"))
+    mask = F.transform(
+        F.filter("turns", lambda t: t["learned"]),
+        lambda t: F.struct(t["at"].alias("start"), (t["at"] + F.length(t["body"])).alias("end")),
+    )
+    return turns.select("tree", "leaf", formatted.alias("formatted"), mask.alias("mask"))
 
 
 def _plain(text: str, role: bool = False) -> str:

@@ -46,6 +46,16 @@ def _run(letters: str, least: int) -> str:
     return f"(?<!{letters}){letters}{{{least},}}"
 
 
+#: Matches whose places are added up in one array.
+BLOCK = 128
+_PARTS = "array<struct<gap:int,size:int,holds:boolean>>"
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, also where lambdas repeat it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _spans(text: Column, kind: str, pattern: str, holds: Callable[[Column], Column], group: int = 0) -> Column:
     """Array of (start, end, kind) of the leftmost non-overlapping matches for whose group ``holds`` is true."""
     parts = F.arrays_zip(
@@ -53,16 +63,28 @@ def _spans(text: Column, kind: str, pattern: str, holds: Callable[[Column], Colu
         F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.length).alias("size"),
         F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), holds).alias("holds"),
     )
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("found"))
+    end = lambda part: part["gap"] + F.coalesce(part["size"], F.lit(0))
+    none = F.array().cast(_SPAN)
 
     def step(state: Column, part: Column) -> Column:
-        start = state["at"] + part["gap"]
-        end = start + F.coalesce(part["size"], F.lit(0))
-        hit = F.array(F.struct(start.alias("start"), end.alias("end"), F.lit(kind).alias("kind")))
-        found = F.when(part["holds"], F.concat(state["found"], hit)).otherwise(state["found"])
-        return F.struct(end.alias("at"), found.alias("found"))
+        start, stop = state["at"] + part["gap"], state["at"] + end(part)
+        hit = F.array(F.struct(start.alias("start"), stop.alias("end"), F.lit(kind).alias("kind")))
+        return F.struct(stop.alias("at"), F.when(part["holds"], F.concat(state["found"], hit)).otherwise(state["found"]).alias("found"))
+
+    def located(block: Column) -> Column:
+        return F.aggregate(block["parts"], F.struct(block["first"].alias("at"), none.alias("found")), step, lambda state: state["found"])
+
+    # An array that grows by one is copied each time, so it only grows within a block, and the offsets of the blocks in one of their own.
+    def cut(all_parts: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.size(all_parts) - 1, F.lit(BLOCK)), lambda i: F.slice(all_parts, i + 1, BLOCK))
+
+    def joined_blocks(blocks: Column) -> Column:
+        sizes = F.transform(blocks, lambda block: F.aggregate(block, F.lit(0), lambda total, part: total + end(part)))
+        firsts = F.aggregate(sizes, F.array(F.lit(0)), lambda held, size: F.concat(held, F.array(F.element_at(held, -1) + size)))
+        zipped = F.zip_with(blocks, firsts, lambda block, first: F.struct(F.coalesce(block, F.array().cast(_PARTS)).alias("parts"), first.alias("first")))
+        return F.flatten(F.transform(zipped, located))
 
-    found = F.aggregate(parts, empty, step, lambda state: state["found"])
+    found = _once(_once(parts, cut), joined_blocks)
     return F.when(text.rlike(pattern), found).otherwise(F.array().cast(_SPAN))
 
 

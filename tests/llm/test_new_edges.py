@@ -1,13 +1,15 @@
 """Fill-in-middle, alignment and quality: nulls, empty and very long texts, ties, repeated rows, empty tables, clashing names."""
 
 import random
+import time
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lotwise.llm import alignment, fill_middle, quality
+from lotwise.llm import alignment, chat, fill_middle, quality, secret_scan
 from lotwise.llm.queries import BYTE_LEVEL, PIECES
+from lotwise.sources.staging import stage
 from tests.llm import brute
 
 EXTRA = "n long, form string, output string, block long, groups string, score string, quality string, h long, pairs int, difference string"
@@ -149,3 +151,29 @@ def test_quality_without_labels(spark):
     assert [r["score"] for r in quality.score(docs, quality.fit(docs, none)).collect()] == [0.5, 0.5]
     one_kind = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
     assert all(0 <= r["score"] <= 1 for r in quality.score(docs, quality.fit(docs, one_kind)).collect())
+
+
+def _seconds(make) -> float:
+    make().write.format("noop").mode("overwrite").save()
+    start = time.time()
+    make().write.format("noop").mode("overwrite").save()
+    return time.time() - start
+
+
+def test_many_matches_and_turns_cost_in_proportion(spark):
+    """Four times the length costs about four times, and places stay right across blocks of matches."""
+    matches = {n: spark.createDataFrame([(1, "token=abcdef1 " * n)], "doc_id long, text string") for n in (8_000, 32_000)}
+    spans = {n: (lambda d=d: d.select(secret_scan.base_spans(F.col("text")).alias("s"))) for n, d in matches.items()}
+    found = spans[8_000]().first()["s"]
+    assert [(s["start"], s["end"]) for s in found] == [(14 * k, 14 * k + 13) for k in range(8_000)]
+    assert _seconds(spans[32_000]) < 7 * _seconds(spans[8_000]) + 2
+
+    def turns(n):
+        rows = spark.range(n).select(F.lit(1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.lit("assistant").alias("role"), F.lit("ok").alias("text"))
+        nodes = chat.turns_as_trees(rows)
+        return stage(chat.reply_paths(nodes)), stage(nodes)
+
+    made = {n: turns(n) for n in (2_000, 8_000)}
+    formatted = chat.format_paths(*made[2_000]).first()
+    assert [formatted["formatted"][a:b] for a, b in formatted["mask"]] == ["ok"] * 2_000
+    assert _seconds(lambda: chat.format_paths(*made[8_000])) < 7 * _seconds(lambda: chat.format_paths(*made[2_000])) + 2

@@ -4,6 +4,8 @@ import zlib
 
 import numpy as np
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as P
 from lotwise.llm import langid, secret_scan
 from lotwise.sources.staging import stage
@@ -83,3 +85,31 @@ def test_no_secret_is_left(spark):
     found = secret_scan.scan(docs, [0.0] * 128 * 128)
     text = found.select(secret_scan.redact(found.text, found.spans)).first()[0]
     assert text == "<secret> <secret>'"
+
+
+CLASHING = "score", "lang_pred", "items", "n_hit", "n_words", "base", "spans", "first_row", "row", "component_id", "hash", "_row"
+
+
+def test_columns_of_the_caller_stay(spark, folder):
+    """Columns with the names that operators use keep their values through every stage; long, empty and null texts pass."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    long = docs.limit(1).select("doc_id", F.repeat(F.concat("text", F.lit(" ")), 40).alias("text")).first()
+    more = [(9_000_001, long["text"], "en"), (9_000_002, "", "en"), (9_000_003, None, None)]
+    more = spark.createDataFrame(more, "doc_id long, text string, lang string").withColumns({"source": F.lit("x"), "n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)})
+    plain = stage(docs.unionByName(more))
+    marked = stage(plain.withColumns({name: F.concat(F.lit(f"{name} "), "doc_id") for name in CLASHING}))
+    for name, function in P.STAGES[:-1]:
+        plain, marked = stage(function(spark, plain, folder)), stage(function(spark, marked, folder))
+        assert marked.columns == [*plain.columns, *CLASHING]
+        assert marked.where(" OR ".join(f"NOT `{c}` <=> concat('{c} ', doc_id)" for c in CLASHING)).count() == 0
+        assert sorted(map(repr, marked.select(plain.columns).collect())) == sorted(map(repr, plain.collect())), name
+    pieces = [P.STAGES[-1][1](spark, d, folder).select("doc_id", "start", "ids_crc32") for d in (plain, marked)]
+    assert sorted(map(tuple, pieces[0].collect())) == sorted(map(tuple, pieces[1].collect()))
+
+
+def test_an_empty_table_passes_every_stage(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
+    for _, function in P.STAGES[:-1]:
+        docs = stage(function(spark, docs, folder))
+        assert docs.count() == 0
+    assert P.STAGES[-1][1](spark, docs, folder).count() == 0
