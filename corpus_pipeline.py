@@ -18,12 +18,17 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 MIN_SCORE = 0.3
 
 
+def _kept(docs: DataFrame, *needed: str) -> DataFrame:
+    """The columns an operator needs, and the whole row as one column, so that no name of its own meets one of the caller's."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *needed)
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents whose language is recognised; those without letters or with no likely language go."""
     remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
     net = langid.fit(docs.where((remainder != 2) & F.col("lang").isNotNull()).select("text", "lang"))
-    found = langid.predict(docs, net)
-    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_SCORE)).select(*docs.columns)
+    found = langid.predict(_kept(docs, "text"), net)
+    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_SCORE)).select("_row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,24 +40,25 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     rows = docs.select(key.alias("row"), "doc_id", F.xxhash64("text").alias("hash")).distinct()
     linked = jaccard_components(docs.select(key.alias("doc_id"), "text")).select(F.col("doc_id").alias("row"), "component_id").distinct()
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "hash", "row")
-    found = rows.join(linked, "row").groupBy("component_id").agg(F.min(order).alias("first")).select(F.col("first.row").alias("first_row"))
-    kept = docs.join(found, key == F.col("first_row"), "left_semi")
+    found = rows.join(linked, "row").groupBy("component_id").agg(F.min(order).alias("first")).select(F.col("first.row").alias("row"))
+    kept = _kept(docs, key.alias("row")).join(found, "row", "left_semi").select("_row.*")
     return kept.dropDuplicates(["doc_id", "text"])
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a passage of a benchmark item go."""
-    found = decontam.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return found.where(F.col("n_hit") == 0).select(*docs.columns)
+    found = decontam.contamination(_kept(docs, "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.where(F.col("n_hit") == 0).select("_row.*")
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document stays; its secrets are replaced by a mark, and n_chars follows."""
     texts = docs.select("doc_id", "text")
-    found = secret_scan.scan(docs, secret_scan.train(secret_scan.labelled_samples(texts)))
+    found = secret_scan.scan(_kept(docs, "text"), secret_scan.train(secret_scan.labelled_samples(texts)))
     clean = found.withColumn("text", secret_scan.redact(F.col("text"), F.col("spans")))
-    changed = F.when(F.size("spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return clean.withColumn("n_chars", changed).select(*docs.columns)
+    changed = F.when(F.size("spans") > 0, F.length("text").cast("long")).otherwise(F.col("_row.n_chars"))
+    new = {"text": F.col("text"), "n_chars": changed}
+    return clean.select(*[new.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
