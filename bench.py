@@ -42,8 +42,8 @@ HEADLINES = [
     "box_stats_by_group",
     "price_trend_all",
 ]
-#: Fits and what needs one: run once, as they are long beside the start of the JVM.
-MODELS = ["fit_linear", "fit_forest", "fit_boosted", "fit_svr", "score", "explain_trees"]
+#: Fits that end in a minute or so: run once, as they are long beside the start of the JVM. The full-size tree fits and the searches are not here.
+MODELS = ["fit_linear", "fit_svr", "score"]
 
 
 def main() -> None:

@@ -57,7 +57,9 @@ def regressor_stages(kind: str, **params: Any) -> list:
     if kind == "linear":
         return [BlockRegression(**columns, **params), price_stage()]
     if kind == "forest":
-        return [RandomForestRegressor(featuresCol="features", seed=SEED, **columns, **params), price_stage()]
+        # Each row remembers its nodes, so deep trees are not sent along with every pass.
+        kept = {"cacheNodeIds": True, "maxMemoryInMB": 1024}
+        return [RandomForestRegressor(featuresCol="features", seed=SEED, **{**kept, **columns, **params}), price_stage()]
     if kind == "boosted":
         return [GBTRegressor(featuresCol="features", seed=SEED, **columns, **params), price_stage()]
     if kind == "svr":
