@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from math import ceil
 
 from pyspark.sql import Column, DataFrame
@@ -47,6 +48,7 @@ def train_test_split(
     stratum = F.lit("") if by is None else _stratum(by)
     sizes = stage(df.groupBy(stratum.alias("_stratum")).agg(F.count(F.lit(1)).alias("_size")))
     if by is not None and sizes.where("_size < 2").limit(1).count():
+        warnings.warn(f"a value of {by} has a single row: the split is not stratified", stacklevel=2)
         return train_test_split(df, None, test_share, key, seed)
     rows = sizes.agg(F.sum("_size")).first()[0] or 0
     n_test = ceil(rows * test_share)

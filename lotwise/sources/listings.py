@@ -44,9 +44,24 @@ def read_raw(spark: SparkSession, path: str, schema: StructType = S.RAW, multili
     return nan_to_null(reader.csv(require_path(spark, path)))
 
 
+#: Equal rows that are numbered in one array.
+_EQUAL = 10_000
+
+
 def with_listing_id(df: DataFrame) -> DataFrame:
-    """Adds a row key to a table without one, staged so that it does not change any more."""
-    return stage(df.select(F.monotonically_increasing_id().alias(S.ID), *df.columns))
+    """Adds a row key to a table without one: the hash of the row and its number among equal rows.
+
+    The key follows from the content, whatever the files and partitions it comes from. Equal rows are counted, which
+    a partial aggregation does before the shuffle, and written out again; staged, as every later job reads the keys.
+    """
+    names = [f"`{c}`" for c in df.columns]
+    counted = df.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
+    # JSON names the fields, so a NULL in one column is not a NULL in another.
+    digest = F.md5(F.to_json(F.struct(*names)))
+    blocks = counted.select(*names, digest.alias("_digest"), "_n", F.explode(F.sequence(F.lit(0), F.col("_n") - 1, F.lit(_EQUAL))).alias("_first"))
+    last = F.least(F.col("_first") + _EQUAL, F.col("_n")) - 1
+    rows = blocks.select("_digest", *names, F.explode(F.sequence("_first", last)).alias("_number"))
+    return stage(rows.select(F.concat_ws("-", "_digest", "_number").alias(S.ID), *names))
 
 
 def read_clean(spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | None = None) -> DataFrame:

@@ -87,3 +87,13 @@ def test_a_staged_lookup_is_broadcast_by_its_size(spark):
         assert plan.count() == 100
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_row_keys_follow_from_the_content(spark, monkeypatch):
+    monkeypatch.setattr("lotwise.sources.listings._EQUAL", 3)
+    rows = [("a", None), (None, "a"), ("b", "c"), *[("b", "d")] * 8]
+    df = spark.createDataFrame(rows, "Area string, State string")
+    first = sorted(tuple(r) for r in with_listing_id(df).collect())
+    again = sorted(tuple(r) for r in with_listing_id(df.repartition(5)).collect())
+    assert first == again and len({r[0] for r in first}) == len(rows)
+    assert sorted(map(repr, (r[1:] for r in first))) == sorted(map(repr, rows))
