@@ -16,21 +16,25 @@ from lotwise.operators.encoding import melt_types
 NUMBERS = [S.TARGET, S.PSF, S.TX]
 
 
+#: Raw and log views of all numeric columns, the target with its own number of bins.
+RAW_VIEWS = [
+    *[D.View(c, c) for c in NUMBERS],
+    *[D.View(f"{c}_log", c, log=True) for c in (S.PSF, S.TX)],
+    D.View("target", S.TARGET, D.TARGET_BINS),
+    D.View("target_log", S.TARGET, D.TARGET_BINS, True),
+]
+CLEAN_VIEWS = [D.View("clean_price", S.TARGET, D.CLEAN_BINS)]
+
+
 def _histograms(spark: SparkSession, sf: str) -> DataFrame:
-    """Raw and log views of all numeric columns, the target with its own number of bins, the clean price."""
-    raw, clean = listings(spark, sf), clean_table(spark, sf)
-    charts = [(f"{c}", raw, c, D.RAW_BINS, False) for c in NUMBERS]
-    charts += [(f"{c}_log", raw, c, D.RAW_BINS, True) for c in (S.PSF, S.TX)]
-    charts += [("target", raw, S.TARGET, D.TARGET_BINS, False), ("target_log", raw, S.TARGET, D.TARGET_BINS, True)]
-    charts += [("clean_price", clean, S.TARGET, D.CLEAN_BINS, False)]
-    parts = [
-        rounded(D.histogram(df, c, bins, log), 7).select(F.lit(name).alias("chart"), "bin", "low", "high", "n")
-        for name, df, c, bins, log in charts
-    ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    parts = [D.histograms(listings(spark, sf), RAW_VIEWS), D.histograms(clean_table(spark, sf), CLEAN_VIEWS)]
+    return rounded(parts[0].unionByName(parts[1]), 7)
+
+
+def _curves(spark: SparkSession, sf: str) -> DataFrame:
+    parts = [D.kde_curves(listings(spark, sf), RAW_VIEWS), D.kde_curves(clean_table(spark, sf), CLEAN_VIEWS)]
+    curves = parts[0].unionByName(parts[1])
+    return curves.select("chart", "point", F.round("x", 4).alias("x"), F.round("density", 9).alias("density"), F.round("height", 4).alias("height"))
 
 
 def _box_groups(spark: SparkSession, sf: str) -> DataFrame:
@@ -47,9 +51,7 @@ def _box_groups(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "histogram": _histograms,
-    "kde_curve": lambda spark, sf: rounded(
-        D.kde_curve(listings(spark, sf), S.TARGET).select("point", "x", "height"), 4
-    ),
+    "kde_curve": _curves,
     "box_stats": lambda spark, sf: rounded(D.box_stats(listings(spark, sf)), 4),
     "box_stats_by_group": _box_groups,
     "melt_types": lambda spark, sf: melt_types(clean_table(spark, sf)),
@@ -77,6 +79,17 @@ def _histogram_sql(name: str, table: str, value: str, bins: int) -> str:
                WHERE {value} IS NOT NULL GROUP BY 1) ON b = i"""
 
 
+def _curve_sql(name: str, table: str, value: str, bins: int) -> str:
+    return f"""
+    SELECT '{name}' AS chart, point, round(any_value(x), 4) AS x, round(any_value(unit) * sum(k), 9) AS density,
+           round(any_value(unit) * sum(k) * any_value(n * (hi - lo)) / {bins}, 4) AS height
+    FROM (SELECT point, x, n, lo, hi, 1 / (n * h * 2.5066282746310002) AS unit, exp(-0.5 * ((x - v) / h) ** 2) AS k
+          FROM (SELECT CAST(i AS INTEGER) AS point, lo + i * (hi - lo) / {D.CURVE_POINTS - 1} AS x, n, lo, hi, h FROM range({D.CURVE_POINTS}) r(i),
+                (SELECT count({value}) AS n, min({value}) AS lo, max({value}) AS hi, stddev_samp({value}) * count({value}) ** (-0.2) AS h FROM {table})),
+               (SELECT {value} AS v FROM {table} WHERE {value} IS NOT NULL))
+    GROUP BY point"""
+
+
 def _box_sql(table: str, value: str, group: str | None = None) -> str:
     """Statistics of a column, or of each group of it."""
     by = f'"{group}"' if group else "1"
@@ -115,22 +128,17 @@ _POINTS = "FROM listing WHERE Transactions IS NOT NULL AND Median_Price IS NOT N
 SQL = {
     "histogram": on_clean(
         _UNION(
-            [_histogram_sql(c, "listing", c, 30) for c in NUMBERS]
-            + [_histogram_sql(f"{c}_log", "listing", _LOG(c), 30) for c in (S.PSF, S.TX)]
-            + [
-                _histogram_sql("target", "listing", S.TARGET, 40),
-                _histogram_sql("target_log", "listing", _LOG(S.TARGET), 40),
-                _histogram_sql("clean_price", "clean", S.TARGET, 50),
-            ]
+            _histogram_sql(v.name, table, _LOG(v.column) if v.log else v.column, v.bins)
+            for table, views in (("listing", RAW_VIEWS), ("clean", CLEAN_VIEWS))
+            for v in views
         )
     ),
-    "kde_curve": on_listing(
-        ", k AS (SELECT count(Median_Price) AS n, min(Median_Price) AS lo, max(Median_Price) AS hi, "
-        "stddev_samp(Median_Price) * count(Median_Price) ** (-0.2) AS h FROM listing), "
-        "grid AS (SELECT CAST(i AS INTEGER) AS point, lo + i * (hi - lo) / 199 AS x, n, lo, hi, h FROM range(200) r(i), k) "
-        "SELECT point, round(any_value(x), 4) AS x, round(sum(exp(-0.5 * ((x - Median_Price) / h) ** 2)) / "
-        "(any_value(h) * 2.5066282746310002) * (any_value(hi) - any_value(lo)) / 30, 4) AS height "
-        "FROM grid, listing WHERE Median_Price IS NOT NULL GROUP BY point"
+    "kde_curve": on_clean(
+        _UNION(
+            _curve_sql(v.name, table, _LOG(v.column) if v.log else v.column, v.bins)
+            for table, views in (("listing", RAW_VIEWS), ("clean", CLEAN_VIEWS))
+            for v in views
+        )
     ),
     "box_stats": on_listing(_UNION(_box_sql("listing", c) for c in NUMBERS)),
     "box_stats_by_group": on_clean(

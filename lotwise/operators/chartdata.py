@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,62 +26,151 @@ def _value(column: str, log: bool) -> Column:
     return F.log1p(value) if log else value
 
 
-def _range(df: DataFrame, column: str, log: bool) -> tuple[int, float, float, float] | None:
-    """Count, ends and sample standard deviation of a column, or None without values."""
-    v = _value(column, log)
-    n, low, high, std = df.agg(F.count(v), F.min(v), F.max(v), F.stddev_samp(v)).first()
-    return (n, low, high, std) if n else None
+class View(NamedTuple):
+    """One histogram and its curve: a column, its number of bins, and whether log1p is taken first."""
+
+    name: str
+    column: str
+    bins: int = RAW_BINS
+    log: bool = False
+
+
+class Extent(NamedTuple):
+    """Count, ends and sample standard deviation of the values of a view."""
+
+    n: int
+    low: float
+    high: float
+    std: float | None
+
+
+def view_extents(df: DataFrame, views: Sequence[View]) -> dict[str, Extent]:
+    """The extents of all views from one aggregation; views without values are left out."""
+    if len({v.name for v in views}) < len(views):
+        raise ValueError("views need different names")
+    if not views:
+        return {}
+    row = df.agg(
+        *[
+            F.struct(F.count(x), F.min(x), F.max(x), F.stddev_samp(x)).alias(f"v{i}")
+            for i, x in enumerate(_value(v.column, v.log) for v in views)
+        ]
+    ).first()
+    return {v.name: Extent(*found) for v, found in zip(views, row) if found[0]}
+
+
+def _edges(extent: Extent, bins: int) -> tuple[float, float]:
+    """Lower end and width of the bins; a constant gets bins around it."""
+    low, high = (extent.low - 0.5, extent.high + 0.5) if extent.low == extent.high else (extent.low, extent.high)
+    return low, (high - low) / bins
+
+
+def _cells(view: View, extent: Extent, place: int, points: int | None) -> list[Column]:
+    """What a row adds to a view, to the cells from ``first`` to ``last``: one to its bin, or its kernel to grid points if ``points`` is given."""
+    v = _value(view.column, view.log)
+
+    def entry(is_curve: bool, low: float, step: float, bandwidth: float, first: Column, last: Column) -> Column:
+        numbers = [F.lit(low).alias("low"), F.lit(step).alias("step"), F.lit(bandwidth).alias("bandwidth")]
+        ends = [first.cast("int").alias("first"), last.cast("int").alias("last")]
+        return F.struct(F.lit(place).alias("place"), F.lit(is_curve).alias("is_curve"), v.cast("double").alias("v"), *numbers, *ends)
+
+    if points is None:
+        low, width = _edges(extent, view.bins)
+        index = F.least(F.floor((v - F.lit(low)) / F.lit(width)), F.lit(view.bins - 1))
+        return [entry(False, low, width, 1.0, index, index)]
+    if not extent.std:
+        return []
+    bandwidth = extent.std * extent.n ** (-0.2)
+    step = (extent.high - extent.low) / (points - 1)
+    reach = KERNEL_REACH * bandwidth
+    first = F.greatest(F.ceil((v - (extent.low + reach)) / step), F.lit(0))
+    last = F.least(F.floor((v - (extent.low - reach)) / step), F.lit(points - 1))
+    return [entry(True, extent.low, step, bandwidth, first, last)]
+
+
+def _sums(df: DataFrame, entries: list[Column]) -> DataFrame:
+    """(place, is_curve, cell, n, s) of the cells that rows add to: one scan, one row per cell out of a task."""
+    if not entries:
+        return small_table(df.sparkSession, [], "place int, is_curve boolean, cell int, n bigint, s double")
+    long = df.select(F.inline(F.array(*entries))).where("v is not null and first <= last")
+    long = long.select("place", "is_curve", "v", "low", "step", "bandwidth", F.explode(F.sequence("first", "last")).alias("cell"))
+    z = (F.col("low") + F.col("cell") * F.col("step") - F.col("v")) / F.col("bandwidth")
+    kernel = F.when(F.col("is_curve"), F.exp(z * z * -0.5))
+    return long.groupBy("place", "is_curve", "cell").agg(F.count(F.lit(1)).alias("n"), F.sum(kernel).alias("s"))
+
+
+def _bins_of(df: DataFrame, views: Sequence[View], extents: dict[str, Extent], sums: DataFrame) -> DataFrame:
+    rows = []
+    for place, view in enumerate(views):
+        if view.name in extents:
+            low, width = _edges(extents[view.name], view.bins)
+            rows += [(place, i, view.name, low + i * width, low + (i + 1) * width) for i in range(view.bins)]
+    grid = small_table(df.sparkSession, rows, "place int, cell int, chart string, low double, high double")
+    counts = sums.where("not is_curve").select("place", "cell", "n")
+    return grid.join(counts, ["place", "cell"], "left").select(
+        "chart", F.col("cell").alias("bin"), "low", "high", F.coalesce("n", F.lit(0)).alias("n")
+    )
+
+
+def _curves_of(
+    df: DataFrame, views: Sequence[View], extents: dict[str, Extent], sums: DataFrame, points: int
+) -> DataFrame:
+    rows = []
+    for place, view in enumerate(views):
+        extent = extents.get(view.name)
+        if extent and extent.std:
+            step = (extent.high - extent.low) / (points - 1)
+            unit = extent.n * (extent.std * extent.n ** (-0.2)) * 2.5066282746310002  # sqrt(2 pi)
+            scale = extent.n * (extent.high - extent.low) / view.bins
+            rows += [(place, i, view.name, extent.low + i * step, unit, scale) for i in range(points)]
+    grid = small_table(df.sparkSession, rows, "place int, cell int, chart string, x double, unit double, scale double")
+    kernels = sums.where("is_curve").select("place", "cell", "s")
+    density = F.coalesce("s", F.lit(0.0)) / F.col("unit")
+    return grid.join(kernels, ["place", "cell"], "left").select(
+        "chart", F.col("cell").alias("point"), "x", density.alias("density"), (density * F.col("scale")).alias("height")
+    )
+
+
+def _entries(views: Sequence[View], extents: dict[str, Extent], points: int | None) -> list[Column]:
+    return [e for i, v in enumerate(views) if v.name in extents for e in _cells(v, extents[v.name], i, points)]
+
+
+def histograms(df: DataFrame, views: Sequence[View], extents: dict[str, Extent] | None = None) -> DataFrame:
+    """(chart, bin, low, high, n) of all views in two scans: the extents, then the rows of every bin."""
+    extents = view_extents(df, views) if extents is None else extents
+    return _bins_of(df, views, extents, _sums(df, _entries(views, extents, None)))
+
+
+def kde_curves(
+    df: DataFrame, views: Sequence[View], extents: dict[str, Extent] | None = None, points: int = CURVE_POINTS
+) -> DataFrame:
+    """(chart, point, x, density, height) of all views in two scans: Gaussian density with Scott's bandwidth.
+
+    A value adds only to the grid points its kernel reaches, and the partial sums leave each task as one row per
+    grid point. ``height`` has the scale of a histogram with the bins of the view. A view of fewer than two
+    different values has no curve.
+    """
+    extents = view_extents(df, views) if extents is None else extents
+    return _curves_of(df, views, extents, _sums(df, _entries(views, extents, points)), points)
+
+
+def histograms_and_curves(df: DataFrame, views: Sequence[View], points: int = CURVE_POINTS) -> tuple[DataFrame, DataFrame]:
+    """Both tables from the same two scans; the sums, a few rows for each view, are staged."""
+    extents = view_extents(df, views)
+    sums = stage(_sums(df, _entries(views, extents, None) + _entries(views, extents, points)))
+    return _bins_of(df, views, extents, sums), _curves_of(df, views, extents, sums, points)
 
 
 def histogram(df: DataFrame, column: str, bins: int = RAW_BINS, log: bool = False) -> DataFrame:
     """(bin, low, high, n) of equal-width bins from the smallest to the largest value, empty ones too."""
-    spark = df.sparkSession
-    ends = _range(df, column, log)
-    schema = "bin int, low double, high double"
-    if ends is None:
-        return small_table(spark, [], f"{schema}, n bigint")
-    _, low, high, _ = ends
-    if low == high:
-        low, high = low - 0.5, high + 0.5
-    width = (high - low) / bins
-    v = _value(column, log)
-    index = F.least(F.floor((v - F.lit(low)) / F.lit(width)), F.lit(bins - 1)).cast("int")
-    counts = df.where(v.isNotNull()).groupBy(index.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    edges = small_table(spark, [(i, low + i * width, low + (i + 1) * width) for i in range(bins)], schema
-    )
-    return edges.join(counts, "bin", "left").select("bin", "low", "high", F.coalesce("n", F.lit(0)).alias("n"))
+    return histograms(df, [View(column, column, bins, log)]).drop("chart")
 
 
 def kde_curve(
     df: DataFrame, column: str, bins: int = RAW_BINS, log: bool = False, points: int = CURVE_POINTS
 ) -> DataFrame:
-    """(point, x, density, height): Gaussian density with Scott's bandwidth over the histogram.
-
-    A value adds only to the grid points its kernel reaches, and the partial
-    sums leave each task as one row per grid point. ``height`` has the scale of
-    a histogram with ``bins`` bins.
-    """
-    spark = df.sparkSession
-    ends = _range(df, column, log)
-    if ends is None or not ends[3]:
-        return small_table(spark, [], "point int, x double, density double, height double")
-    n, low, high, std = ends
-    bandwidth = std * n ** (-0.2)
-    step = (high - low) / (points - 1)
-    v = _value(column, log)
-    reach = KERNEL_REACH * bandwidth
-    first = F.greatest(F.ceil((v - (low + reach)) / step), F.lit(0)).cast("int")
-    last = F.least(F.floor((v - (low - reach)) / step), F.lit(points - 1)).cast("int")
-    near = df.where(v.isNotNull()).select(v.alias("v"), first.alias("first"), last.alias("last"))
-    near = near.where("first <= last").select("v", F.explode(F.sequence("first", "last")).alias("point"))
-    z = (F.lit(low) + F.col("point") * F.lit(step) - F.col("v")) / F.lit(bandwidth)
-    sums = near.groupBy("point").agg(F.sum(F.exp(z * z * -0.5)).alias("s"))
-    grid = small_table(spark, [(i, low + i * step) for i in range(points)], "point int, x double")
-    unit = n * bandwidth * 2.5066282746310002  # sqrt(2 pi)
-    density = F.coalesce("s", F.lit(0.0)) / F.lit(unit)
-    return grid.join(sums, "point", "left").select(
-        "point", "x", density.alias("density"), (density * (n * (high - low) / bins)).alias("height")
-    )
+    """(point, x, density, height) of one column, see :func:`kde_curves`."""
+    return kde_curves(df, [View(column, column, bins, log)], points=points).drop("chart")
 
 
 _BOX = ["n", "q1", "median", "q3", "whisker_low", "whisker_high", "outliers"]

@@ -156,6 +156,33 @@ def test_kde_skips_distant_points(spark):
     np.testing.assert_allclose(found.density, density, rtol=1e-9, atol=1e-300)
 
 
+def test_views_share_two_scans(spark, mixed):
+    """Bins and curves of raw, log, integer, constant and empty views, together as one at a time."""
+    table = spark.createDataFrame(mixed).select("v", F.lit(3.0).alias("same"), F.lit(None).cast("double").alias("none"), F.expr("int(v)").alias("i"))
+    views = [D.View("raw", "v"), D.View("log", "v", 40, True), D.View("i", "i", 7), D.View("same", "same", 4), D.View("none", "none")]
+    bins, curves = D.histograms_and_curves(table, views)
+    assert {r["chart"] for r in bins.select("chart").distinct().collect()} == {"raw", "log", "i", "same"}
+    assert {r["chart"] for r in curves.select("chart").distinct().collect()} == {"raw", "log", "i"}
+    for v in views:
+        alone = D.histogram(table, v.column, v.bins, v.log).orderBy("bin").toPandas()
+        pd.testing.assert_frame_equal(bins.where(F.col("chart") == v.name).drop("chart").orderBy("bin").toPandas(), alone)
+        curve = D.kde_curve(table, v.column, v.bins, v.log).orderBy("point").toPandas()
+        together = curves.where(F.col("chart") == v.name).drop("chart").orderBy("point").toPandas()
+        pd.testing.assert_frame_equal(together, curve)
+    with pytest.raises(ValueError):
+        D.view_extents(table, [D.View("raw", "v"), D.View("raw", "i")])
+
+
+def test_all_views_read_the_table_once_after_the_extents(spark, mixed, tmp_path):
+    spark.createDataFrame(mixed).write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    views = [D.View("raw", "v"), D.View("log", "v", 40, True)]
+    extents = D.view_extents(table, views)
+    for made in (D.histograms(table, views, extents), D.kde_curves(table, views, extents)):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert plan.split("== Initial Plan ==")[0].count("FileScan parquet") == 1
+
+
 def test_box_statistics(spark):
     values = [1.0, 2.0, 3.0, 4.0, 5.0, 30.0]
     row = D.box_stats(spark.createDataFrame([(v,) for v in values], "v double")).first()
