@@ -17,6 +17,7 @@ from lotwise.operators.association import association_matrix
 from lotwise.operators.market import lookup_table
 from lotwise.operators import profile as R
 from lotwise.operators.chartdata import box_stats
+from lotwise.plans.fitted import split_and_fit
 from lotwise.plans.preprocess import preprocess
 from lotwise.plans import evaluation as E
 from lotwise.plans.scoring import score, score_all_models
@@ -88,8 +89,14 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             write_result(part, f"{args.output}/{name}")
         _tell(errors | failed)
     elif args.job == "train":
+        if args.fit_on == "train":
+            # The statistics are stored beside the model: requests with raw values are cleaned by them.
+            split, fitted = split_and_fit(raw)
+            fitted.save(f"{args.output}_preprocessor")
+        else:
+            split = prepare_split(raw)
         done = train_model(
-            prepare_split(raw), args.kind, tune=not args.no_search, metrics_path=args.metrics, model_path=args.output
+            split, args.kind, tune=not args.no_search, metrics_path=args.metrics, model_path=args.output
         )
         if done.report is not None:
             done.report.orderBy("mean_r2").show(truncate=False)
@@ -107,6 +114,7 @@ def main(argv: list[str] | None = None) -> None:
     jobs.choices["train"].add_argument("--kind", choices=KINDS, required=True)
     jobs.choices["train"].add_argument("--metrics", required=True)
     jobs.choices["train"].add_argument("--no-search", action="store_true")
+    jobs.choices["train"].add_argument("--fit-on", choices=("all", "train"), default="all", help="rows the preprocessing is fitted on")
     compare = jobs.add_parser("compare")
     compare.add_argument("--metrics", required=True)
     compare.add_argument("--output", required=True)

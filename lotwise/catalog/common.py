@@ -137,8 +137,11 @@ clean AS (
          {", ".join(f"CAST(list_contains(string_split(" + chr(34) + "Type" + chr(34) + f", ', '), '{f[5:]}') AS INTEGER) AS " + chr(34) + f + chr(34) for f in FLAGS)}
   FROM areas)"""
 
-SPLIT_SQL = f"""{CLEAN_SQL},
-strata AS (SELECT State AS stratum, count(*) AS size FROM clean GROUP BY State),
+
+def split_sql(table: str, by: str = "State") -> str:
+    """``split``: the rows of ``table`` with their split, stratified by a column."""
+    return f"""
+strata AS (SELECT {by} AS stratum, count(*) AS size FROM {table} GROUP BY {by}),
 wanted AS (
   SELECT stratum, size, sum(size) OVER () AS n, ceil(sum(size) OVER () * CAST(0.2 AS DOUBLE)) AS n_test FROM strata),
 quotas AS (
@@ -148,9 +151,40 @@ limits AS (
   SELECT stratum, base + CASE WHEN row_number() OVER (ORDER BY rest DESC, stratum) <= n_test - sum(base) OVER ()
                          THEN 1 ELSE 0 END AS quota FROM quotas),
 split AS (
-  SELECT c.*, CASE WHEN row_number() OVER (PARTITION BY State ORDER BY substr(md5('42:' || listing_id), 1, 13)) <= quota
+  SELECT c.*, CASE WHEN row_number() OVER (PARTITION BY {by} ORDER BY substr(md5('42:' || listing_id), 1, 13)) <= quota
               THEN 'test' ELSE 'train' END AS split
-  FROM clean c JOIN limits ON State = stratum)"""
+  FROM {table} c JOIN limits ON {by} = stratum)"""
+
+
+SPLIT_SQL = f"{CLEAN_SQL},{split_sql('clean')}"
+
+#: The clean table with all statistics from the train rows: split first, then everything else.
+TRAIN_FITTED_SQL = f"""{LISTING_SQL},{TEXT_SQL},
+sized AS (
+  SELECT * EXCLUDE (Township, Median_PSF), Median_Price / nullif(Median_PSF, 0) AS Estimated_Size,
+         ln(1 + Median_Price / nullif(Median_PSF, 0)) AS Log_Estimated_Size FROM tenured WHERE Median_Price IS NOT NULL),
+grouped AS (SELECT *, CASE WHEN count(*) OVER (PARTITION BY State) < 2 THEN 'Other_State' ELSE State END AS by_state FROM sized),{split_sql("grouped", "by_state")},
+filled AS (
+  SELECT * REPLACE (coalesce(Transactions, (SELECT quantile_cont(Transactions, 0.5) FROM split WHERE split = 'train')) AS Transactions)
+  FROM split),
+dense AS (
+  SELECT f.*, coalesce(a.area_tx, 0) / (SELECT sum(Transactions) FROM filled WHERE split = 'train') AS Area_Transaction_Density
+  FROM filled f LEFT JOIN (SELECT Area, sum(Transactions) AS area_tx FROM filled WHERE split = 'train' GROUP BY Area) a ON f.Area = a.Area),
+train1 AS (SELECT * FROM dense WHERE split = 'train'),
+cut1 AS (SELECT * FROM dense WHERE {fences_sql("train1", "Median_Price")}),
+train2 AS (SELECT * FROM cut1 WHERE split = 'train'),
+cut2 AS (SELECT * FROM cut1 WHERE {fences_sql("train2", "Transactions")}),
+train3 AS (SELECT * FROM cut2 WHERE split = 'train'),
+states AS (
+  SELECT * REPLACE (CASE WHEN State NOT IN (SELECT State FROM train3 GROUP BY State HAVING count(*) >= 2)
+                    THEN 'Other_State' ELSE State END AS State) FROM cut2),
+areas AS (
+  SELECT * REPLACE (CASE WHEN Area NOT IN (SELECT Area FROM train3 GROUP BY Area HAVING count(*) >= 5)
+                    THEN 'Other_' || State ELSE Area END AS Area) FROM states),
+train_fitted AS (
+  SELECT * EXCLUDE ("Type"),
+         {", ".join(f"CAST(list_contains(string_split(" + chr(34) + "Type" + chr(34) + f", ', '), '{f[5:]}') AS INTEGER) AS " + chr(34) + f + chr(34) for f in FLAGS)}
+  FROM areas)"""
 
 
 def baseline_sql(by: str = "State", name: str = "preds") -> str:
@@ -191,9 +225,9 @@ CLEAN_COLUMNS_SQL = (
 )
 
 
-def clean_output(df: DataFrame) -> DataFrame:
+def clean_output(df: DataFrame, *more: str) -> DataFrame:
     return df.select(
         S.ID, "Area", "State", "Tenure", S.TARGET, S.TX,
         F.round(S.SIZE, 6).alias(S.SIZE), F.round(S.LOG_SIZE, 8).alias(S.LOG_SIZE),
-        F.round(S.DENSITY, 10).alias(S.DENSITY), *FLAGS,
+        F.round(S.DENSITY, 10).alias(S.DENSITY), *FLAGS, *more,
     )

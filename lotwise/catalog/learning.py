@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from lotwise import schema as S
 from lotwise.catalog.common import (
-    CLEAN_SQL, FLAGS, REQUESTS_SQL, SPLIT_SQL, _once, baseline, baseline_sql, on_baseline, on_clean, requests, rounded, split_table, clean_table,
+    CLEAN_COLUMNS_SQL, CLEAN_SQL, FLAGS, REQUESTS_SQL, SPLIT_SQL, TRAIN_FITTED_SQL, _once, baseline, baseline_sql, clean_output, clean_table,
+    on_baseline, on_clean, requests, rounded, split_table,
 )
 from lotwise.catalog.tables import metrics_sql
 from lotwise.fixtures import listings
@@ -24,7 +25,7 @@ from lotwise.operators.encoding import select_features
 from lotwise.operators.market import lookup_table
 from lotwise.operators.profile import per_column
 from lotwise.plans import scoring as P
-from lotwise.plans.training import Trained, train_model
+from lotwise.plans.training import Trained, prepare_split, train_model
 from lotwise.sources.staging import small_table, stage, staging_root
 
 #: One point of the published search space for each kind, at its full size; finding a better one is the work of ``randomized_search``.
@@ -98,6 +99,11 @@ def _searched(spark: SparkSession, sf: str, kind: str) -> Trained:
     return _once(f"tuned_{kind}", spark, sf, lambda: train_model(split_table(spark, sf), kind, search=options))
 
 
+def _fit_on_train(spark: SparkSession, sf: str) -> DataFrame:
+    """The clean table whose medians, fences, densities and rare values come from the train rows."""
+    return clean_output(prepare_split(listings(spark, sf), fit_on="train"), "split")
+
+
 def _scaled(spark: SparkSession, sf: str) -> DataFrame:
     columns = [S.TX, S.LOG_SIZE, S.DENSITY]
     parameters = X.scaling_parameters(_train(spark, sf), columns)
@@ -216,6 +222,7 @@ def _select_numbers(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "train_test_split": lambda spark, sf: split_table(spark, sf).select(S.ID, "State", "split"),
+    "train_test_split_fit_on_train": _fit_on_train,
     "kfold": lambda spark, sf: with_folds(clean_table(spark, sf)).select(S.ID, "fold"),
     "standard_scale": _scaled,
     "one_hot": _one_hot,
@@ -297,6 +304,7 @@ _SLOT_SCORES_SQL = (
 
 SQL = {
     "train_test_split": f"WITH {SPLIT_SQL} SELECT listing_id, State, split FROM split",
+    "train_test_split_fit_on_train": f"WITH {TRAIN_FITTED_SQL} SELECT {CLEAN_COLUMNS_SQL}, split FROM train_fitted",
     "kfold": on_clean(
         "SELECT listing_id, CAST(CAST('0x' || substr(md5('43:' || listing_id), 1, 13) AS BIGINT) % 5 AS INTEGER) AS fold FROM clean"
     ),

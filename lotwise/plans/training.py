@@ -13,6 +13,7 @@ from lotwise.ml import metrics as M
 from lotwise.ml.models import MODEL_NAMES, fit, predict, save_model
 from lotwise.ml.search import randomized_search
 from lotwise.ml.split import train_test_split
+from lotwise.plans.fitted import split_and_fit
 from lotwise.plans.preprocess import preprocess
 from lotwise.sources.results import metrics_upsert
 from lotwise.sources.staging import stage
@@ -26,9 +27,15 @@ class Trained:
     report: DataFrame | None
 
 
-def prepare_split(raw: DataFrame) -> DataFrame:
-    """Clean table with its ``split`` column, staged: every fit and evaluation reads it."""
-    return stage(train_test_split(preprocess(raw)))
+def prepare_split(raw: DataFrame, fit_on: str = "all") -> DataFrame:
+    """Clean table with its ``split`` column, staged: every fit and evaluation reads it.
+
+    By default the statistics of the preprocessing come from all rows, as published; ``fit_on="train"`` takes them from
+    the train rows alone (:func:`lotwise.plans.fitted.split_and_fit`, which also returns them).
+    """
+    if fit_on not in ("all", "train"):
+        raise ValueError('fit_on is "all" or "train"')
+    return split_and_fit(raw)[0] if fit_on == "train" else stage(train_test_split(preprocess(raw)))
 
 
 def predictions(model: PipelineModel, split: DataFrame) -> DataFrame:
