@@ -118,3 +118,40 @@ def test_lookup_on_the_original_area(spark, train):  # noqa: F811
     assert (replaced["Area"], replaced[S.TX]) == ("Other_state 0", 16.0)
     original = P.prepare_requests(model, requests, lookup, lookup_on="original").first()
     assert (original["Area"], original[S.TX], original[S.DENSITY]) == ("Other_state 0", 77.0, 0.9)
+
+
+def test_requests_are_joined_once(spark, train, tmp_path):  # noqa: F811
+    """Null, unknown and repeated keys: one join of the requests, and the rows of the operators one after the other."""
+    model = fit(train, "linear")
+    rows = [
+        (1, None, "S0", "Freehold", "Flat", 900.0, None),
+        (2, "Nowhere", "S0", "Freehold", "Flat", 900.0, 7.0),
+        (3, "Nowhere", None, "Freehold", "Flat", 900.0, None),
+        (4, None, None, None, None, None, None),
+        *[(i, "Nowhere", "S0", "Freehold", "Flat", 900.0 + i, None) for i in range(5, 40)],
+    ]
+    spark.createDataFrame(rows, S.REQUEST).write.parquet(str(tmp_path / "r"))
+    requests = spark.read.parquet(str(tmp_path / "r"))
+    lookup = spark.createDataFrame([("S0", "Nowhere", 30.0, 0.02), ("S0", "Nowhere", 31.0, 0.01)], S.LOOKUP)
+    prepared = P.prepare_requests(model, requests, lookup, "original")
+    plan = prepared._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1
+    known = P.known_categories(model, spark)
+    resolved = P.category_fallback(requests, known).withColumn("_area_note", P.fallback_note())
+    once = lookup.where("Transactions = 31")
+    slow = P.fill_features(resolved, P.expected_columns(model), once, "area_used", "Area")
+    columns = ["request_id", *[c for c in P.expected_columns(model)], "fill_notes"]
+    key = lambda df: sorted(map(repr, df.select("request.request_id", *[f"`{c}`" for c in columns[1:]]).collect()))
+    assert key(prepared) == key(slow) and prepared.count() == len(rows)
+    both, errors = P.score_all_models({"a": model, "b": model}, requests, lookup, "original")
+    alone = P.score(model, "a", requests, lookup, "original")
+    assert not errors and both.count() == 2 * len(rows)
+    assert sorted(map(repr, both.where("model = 'a'").collect())) == sorted(map(repr, alone.collect()))
+
+
+def test_no_requests(spark, train, lookup):  # noqa: F811
+    empty = spark.createDataFrame([], S.REQUEST)
+    scored, errors = P.score_all_models({"a": fit(train, "linear")}, empty, lookup)
+    assert scored.isEmpty() and not errors
+    with pytest.raises(ValueError):
+        P.score_all_models({}, empty, lookup)
