@@ -15,7 +15,10 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
-sys.path.insert(0, str(Path(__file__).resolve().parent))
+ROOT = str(Path(__file__).resolve().parent)
+sys.path.insert(0, ROOT)
+# Python workers are started by the JVM, which takes this over; without it they find the library from its own folder only.
+os.environ["PYTHONPATH"] = os.pathsep.join(p for p in (ROOT, os.environ.get("PYTHONPATH")) if p)
 
 from lotwise.catalog import all_queries  # noqa: E402
 from lotwise.catalog.common import split_table  # noqa: E402
