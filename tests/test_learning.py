@@ -206,3 +206,10 @@ def test_svr_search_covers_raw_and_encoded_candidates(train):  # noqa: F811
     rows = report.collect()
     assert len(rows) == 4 and all(r["mean_r2"] > 0.2 for r in rows)
     assert predict(model, train).where("pred_price > 0").count() == train.count()
+
+
+def test_a_limit_on_steps_leaves_exact_least_squares_as_it_is(train):  # noqa: F811
+    found = [predict(fit(train, "linear", **more), train).agg(F.sum("pred_price")).first()[0] for more in ({}, {"maxIter": 30})]
+    assert found[1] == pytest.approx(found[0], rel=1e-12)
+    steps = [len(fit(train, "svr", C=10.0, epsilon=0.05, maxIter=n).stages[0].losses) for n in (1, 60)]
+    assert steps[0] == 2 < steps[1]
