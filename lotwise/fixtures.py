@@ -14,9 +14,12 @@ def listing_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
     part = table("part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
+    # The lines of an order come together before they are added up: sets that differ by order do not get smaller before a shuffle.
     lots = (
         table("lineitem")
         .join(part, "l_partkey")
+        .select("l_orderkey", "p_type", "l_extendedprice", "l_quantity", "l_linenumber")
+        .repartition("l_orderkey")
         .groupBy(F.col("l_orderkey").alias("o_orderkey"))
         .agg(
             F.round(F.sum("l_extendedprice"), 2).alias("price"),

@@ -10,6 +10,9 @@ _BLANK = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3
 # ASCII words, one blank apart, without a letter right after a digit or sign.
 _WORD = r"(?:[A-Za-z]++[!-@\[-`{-~]*+|[!-@\[-`{-~]++)"
 _TIDY = f"^(?:{_WORD}(?: {_WORD})*+)?$"
+# Items of ASCII words, one blank apart and without a comma, with one comma and one blank between them.
+_ITEM = r"[!-+\--~]++(?: [!-+\--~]++)*+"
+_LISTED = f"^(?:{_ITEM}(?:, {_ITEM})*+)?$"
 _CASED = r"\p{IsUppercase}\p{IsLowercase}\p{Lt}"
 
 
@@ -51,12 +54,17 @@ def title_case(text: Column) -> Column:
 def standardize(text: Column) -> Column:
     """Stripped, title-cased, with single blanks; tidy text needs one test and ``initcap``."""
     raw = text.cast("string")
-    return F.when(raw.rlike(_TIDY), F.initcap(raw)).otherwise(title_case(collapse_blanks(strip(raw))))
+    # An array of one: the stripped text is computed once for all uses of it.
+    stripped = F.transform(F.array(collapse_blanks(strip(raw))), title_case)
+    return F.when(raw.rlike(_TIDY), F.initcap(raw)).otherwise(F.get(stripped, F.lit(0)))
 
 
 def tokens(text: Column) -> Column:
     """Distinct, non-empty items of a comma-separated cell; NULL gives an empty array."""
-    items = F.array_remove(F.array_distinct(F.split(normalize_separator(text), ", ", -1)), "")
+    # Plain lists (the usual case) need one test. A split at one plain character compiles no pattern for each row.
+    commas = F.when(text.rlike(_LISTED), F.replace(text, F.lit(", "), F.lit(","))).otherwise(F.regexp_replace(text, f"{_BLANK}*+,{_BLANK}*+", ","))
+    cut = F.split(commas, ",", -1)
+    items = F.array_remove(F.array_distinct(cut), "")
     return F.coalesce(items, F.array().cast("array<string>"))
 
 

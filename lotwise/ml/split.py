@@ -43,13 +43,18 @@ def train_test_split(
     Each stratum gets the floor of its share and the largest remainders one row
     more. Its test rows are those with the smallest hashes; the limiting hash is
     found by counting, so a frequent stratum is never sorted in one task. A
-    stratum with a single row turns stratification off.
+    stratum with a single row turns stratification off. ``df`` is computed once
+    and staged with its hashes.
     """
+    return _split(stage(df.withColumn("_hash", hash_number(key, seed))), by, test_share)
+
+
+def _split(df: DataFrame, by: str | None, test_share: float) -> DataFrame:
     stratum = F.lit("") if by is None else _stratum(by)
     sizes = stage(df.groupBy(stratum.alias("_stratum")).agg(F.count(F.lit(1)).alias("_size")))
     if by is not None and sizes.where("_size < 2").limit(1).count():
-        warnings.warn(f"a value of {by} has a single row: the split is not stratified", stacklevel=2)
-        return train_test_split(df, None, test_share, key, seed)
+        warnings.warn(f"a value of {by} has a single row: the split is not stratified", stacklevel=3)
+        return _split(df, None, test_share)
     rows = sizes.agg(F.sum("_size")).first()[0] or 0
     n_test = ceil(rows * test_share)
     exact = F.col("_size") * F.lit(n_test) / F.lit(max(rows, 1))
@@ -62,13 +67,13 @@ def train_test_split(
     def with_ranks(cells: DataFrame) -> DataFrame:
         return cells.join(quotas, "_stratum").withColumn("_ranks", F.array(F.col("_quota") - 1)).drop("_quota")
 
-    points = df.select(stratum.alias("_stratum"), hash_number(key, seed).cast("double").alias("value"))
+    points = df.select(stratum.alias("_stratum"), F.col("_hash").cast("double").alias("value"))
     limits = stage(order_statistics(points, ["_stratum"], with_ranks).select("_stratum", F.col("value").alias("_limit")))
-    is_test = F.coalesce(hash_number(key, seed) <= F.col("_limit"), F.lit(False))
+    is_test = F.coalesce(F.col("_hash") <= F.col("_limit"), F.lit(False))
     return (
         df.withColumn("_stratum", stratum)
         .join(limits, "_stratum", "left")
-        .select(*df.columns, F.when(is_test, "test").otherwise("train").alias("split"))
+        .select(*[F.col(f"`{c}`") for c in df.columns if c != "_hash"], F.when(is_test, "test").otherwise("train").alias("split"))
     )
 
 

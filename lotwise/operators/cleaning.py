@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from lotwise import schema as S
 from lotwise.functions import text as X
@@ -76,16 +78,28 @@ def value_frequencies(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
 
 
+def set_items(df: DataFrame, column: str = "Type") -> Column:
+    """Items of a set column: of its text, or the column itself where :func:`cut_set` cut it before."""
+    return F.col(column) if isinstance(df.schema[column].dataType, ArrayType) else X.tokens(F.col(column))
+
+
+def cut_set(df: DataFrame, column: str = "Type") -> DataFrame:
+    """The text of a set column replaced by its items, so a staged table is cut once for all that read them."""
+    return df.withColumn(column, set_items(df, column)) if column in df.columns else df
+
+
 def category_frequencies(df: DataFrame, columns: Sequence[str] = ("State", "Area"), set_column: str = "Type") -> DataFrame:
-    """Staged (column, value, n) of several text columns and of the items of a set, in one pass."""
-    values = [
-        F.array(F.struct(F.lit(c).alias("column"), F.col(c).alias("value"))) for c in columns if c in df.columns
-    ]
+    """Staged (column, value, n) of several text columns and of the items of a set.
+
+    Each column is counted by itself, so a scan reads that column only, and equal sets are counted before they are taken apart.
+    """
+    parts = [value_frequencies(df, c).select(F.lit(c).alias("column"), F.col(c).alias("value"), "n") for c in columns if c in df.columns]
     if set_column in df.columns:
-        items = X.tokens(F.col(set_column))
-        values.append(F.transform(items, lambda v: F.struct(F.lit(set_column).alias("column"), v.alias("value"))))
-    long = df.select(F.inline(F.concat(*values))).where(F.col("value").isNotNull())
-    return stage(long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
+        sets = df.groupBy(set_items(df, set_column).alias("items")).agg(F.count(F.lit(1)).alias("n"))
+        items = sets.select(F.explode("items").alias("value"), "n").where(F.col("value").isNotNull())
+        items = items.groupBy("value").agg(F.sum("n").alias("n"))
+        parts.append(items.select(F.lit(set_column).alias("column"), "value", "n"))
+    return stage(reduce(DataFrame.unionByName, parts))
 
 
 def rare_values(df: DataFrame, column: str, min_count: int) -> DataFrame:

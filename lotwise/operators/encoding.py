@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lotwise import schema as S
 from lotwise.functions import text as X
+from lotwise.operators.cleaning import set_items
 
 # The type names a request may carry.
 TYPE_NAMES = [
@@ -41,7 +42,7 @@ def column_names_of(items: DataFrame, column: str = "Type", at_most: int | None
 
 
 def type_vocabulary(df: DataFrame, column: str = "Type") -> list[str]:
-    return column_names_of(df.select(F.explode(X.tokens(F.col(column)))).distinct(), column)
+    return column_names_of(df.select(F.explode(set_items(df, column))).distinct(), column)
 
 
 def multi_hot(df: DataFrame, column: str = "Type", vocabulary: Sequence[str] | None = None) -> DataFrame:
@@ -50,7 +51,7 @@ def multi_hot(df: DataFrame, column: str = "Type", vocabulary: Sequence[str] | N
         return df
     names = type_vocabulary(df, column) if vocabulary is None else list(vocabulary)
     others = [c for c in df.columns if c != column]
-    cut = df.withColumn("_items", X.tokens(F.col(column)))
+    cut = df.withColumn("_items", set_items(df, column))
     flags = [F.array_contains("_items", v).cast("int").alias(f"{S.TYPE_PREFIX}{v}") for v in names]
     return cut.select(*[F.col(f"`{c}`") for c in others], *flags)
 

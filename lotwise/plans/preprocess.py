@@ -30,13 +30,13 @@ def preprocess(df: DataFrame, approx: bool = False) -> DataFrame:
     Areas counted on what is left after that, type flags. Fits that do not
     depend on each other share a pass:
 
-    1. write the cleaned rows (text cleaning is the costly part);
+    1. write the cleaned rows, with the types as items (text cleaning is the costly part);
     2. median of the transactions and quartiles of the price;
     3. transactions per Area;
     4. quartiles of the transactions inside the price fences;
     5. frequencies of States, Areas and type items inside both fences.
     """
-    rows = stage(clean_rows(df))
+    rows = stage(C.cut_set(clean_rows(df)))
     quartiles = quantile_values(rows, [S.TARGET, S.TX], [0.25, 0.5, 0.75], approx)
     if S.TX in quartiles:
         rows = rows.withColumn(S.TX, F.coalesce(nan_as_null(F.col(S.TX)), F.lit(quartiles[S.TX][1])))

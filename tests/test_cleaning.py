@@ -184,3 +184,31 @@ def test_preprocess_agrees_with_pandas(spark, folder):
     assert ours[S.DENSITY].to_numpy() == pytest.approx(theirs[S.DENSITY].to_numpy(), rel=1e-12)
     items = theirs["Type"].str.split(", ").map(len)
     assert (ours[S.flag_columns(list(ours.columns))].sum(axis=1) == items).all()
+
+
+def test_items_of_any_list_are_those_of_the_normalised_text(spark):
+    values = ["a, b", "A b, c d", "a,b", "a ,b", "a ,  b", "a,\u00a0b", "a, , b", ",a", "a, ", " a, b ", "a,, b", "", ",", "b, a, b", "a\tb, c", "é, è", "a  b, c", None]
+    rows = _frame(spark, [(i, v) for i, v in enumerate(values)], "id int, Type string").repartition(1)
+    normal = F.array_remove(F.array_distinct(F.split(X.normalize_separator(F.col("Type")), ", ", -1)), "")
+    for r in rows.select("Type", X.tokens(F.col("Type")).alias("found"), normal.alias("expected")).collect():
+        assert r["found"] == (r["expected"] or []), r["Type"]
+
+
+def test_frequencies_and_flags_of_sets_that_were_cut_before(spark):
+    rows = _frame(spark, [("s", "a", "x, y"), ("s", "b", "y,x, y"), (None, "b", None), ("t", "b", "")], "State string, Area string, Type string")
+    cut = C.cut_set(rows)
+    assert cut.schema["Type"].dataType.simpleString() == "array<string>"
+    counts = {("State", "s", 2), ("State", "t", 1), ("Area", "a", 1), ("Area", "b", 3), ("Type", "x", 2), ("Type", "y", 2)}
+    for df in (rows, cut):
+        assert {tuple(r) for r in C.category_frequencies(df).collect()} == counts
+    assert sorted(map(tuple, E.multi_hot(cut).collect()), key=repr) == sorted(map(tuple, E.multi_hot(rows).collect()), key=repr)
+
+
+def test_preprocess_cuts_the_types_of_a_row_once(spark, monkeypatch):
+    calls = []
+    cut = X.tokens
+    monkeypatch.setattr(X, "tokens", lambda text: calls.append(1) or cut(text))
+    rows = [(i, f"lot {i}", "a", "s", "Freehold", "x, y", 10.0 + i, 1.0, 3.0) for i in range(12)]
+    fields = "listing_id long, Township string, Area string, State string, Tenure string, Type string, Median_Price double, Median_PSF double, Transactions double"
+    assert preprocess(_frame(spark, rows, fields)).select("Type_x", "Type_y").distinct().collect() == [(1, 1)]
+    assert len(calls) == 1
