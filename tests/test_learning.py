@@ -6,13 +6,15 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from lotwise import schema as S
 from lotwise.ml import features as E
 from lotwise.ml import leastsquares as L
 from lotwise.ml import search
+from lotwise.ml.kernel import RandomFourierFeatures, scale_gamma
 from lotwise.ml.levels import Levels
 from lotwise.ml.models import fit, fit_inputs, load_model, predict, save_model
 from lotwise.plans import scoring as P
@@ -213,3 +215,22 @@ def test_a_limit_on_steps_leaves_exact_least_squares_as_it_is(train):  # noqa: F
     assert found[1] == pytest.approx(found[0], rel=1e-12)
     steps = [len(fit(train, "svr", C=10.0, epsilon=0.05, maxIter=n).stages[0].losses) for n in (1, 60)]
     assert steps[0] == 2 < steps[1]
+
+
+def test_a_projection_makes_the_weights_of_the_slots_it_meets_only(spark):
+    wide, gamma = 500_000_000, 0.1  # a matrix of all weights would have 2 * 10^12 numbers
+    slots = [{1: 1.0, 499_999_999: 2.0}, {1: 1.5, 7: -1.0}, {}]
+    rows = spark.createDataFrame([(i, Vectors.sparse(wide, s)) for i, s in enumerate(slots)], ["id", "features"])
+    found = RandomFourierFeatures(gamma=gamma, components=4096).transform(rows).select("id", vector_to_array("fourier")).collect()
+    points = np.array([r[1] for r in sorted(found)])
+    for i, j in ((0, 0), (0, 1), (0, 2), (1, 2)):
+        distance = sum((slots[i].get(k, 0.0) - slots[j].get(k, 0.0)) ** 2 for k in {*slots[i], *slots[j]})
+        assert points[i] @ points[j] == pytest.approx(math.exp(-gamma * distance), abs=0.06)
+
+
+def test_the_width_of_the_kernel_of_sparse_and_dense_vectors(spark):
+    dense = np.array([[1.0, 0.0, 3.0], [0.0, 0.0, -2.0], [0.5, 4.0, 0.0]])
+    sparse = [Vectors.sparse(3, {i: float(v) for i, v in enumerate(row) if v}) for row in dense]
+    for vectors in ([Vectors.dense(row) for row in dense], sparse):
+        frame = spark.createDataFrame([(v,) for v in vectors], ["features"])
+        assert scale_gamma(frame) == pytest.approx(1 / (3 * dense.var()))
