@@ -2,6 +2,7 @@
 
 import json
 import math
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
@@ -234,3 +235,12 @@ def test_the_width_of_the_kernel_of_sparse_and_dense_vectors(spark):
     for vectors in ([Vectors.dense(row) for row in dense], sparse):
         frame = spark.createDataFrame([(v,) for v in vectors], ["features"])
         assert scale_gamma(frame) == pytest.approx(1 / (3 * dense.var()))
+
+
+def test_threads_without_an_active_session_read_the_table_of_a_model(spark, train, monkeypatch):  # noqa: F811
+    model = fit(train, "linear")
+    # What a thread of a search may see.
+    monkeypatch.setattr("lotwise.ml.tables.SparkSession.getActiveSession", lambda: None)
+    with ThreadPool(2) as pool:
+        counts = pool.map(lambda _: model.transform(train).where("prediction IS NOT NULL").count(), range(2))
+    assert counts == [train.count()] * 2
