@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotwise.ml.features import slot_names
+from lotwise.ml.forest import ForestPartsModel
 from lotwise.sources.staging import small_table, staging_path
 
 
@@ -31,6 +32,12 @@ def tree_stage(model: PipelineModel):
 
 def read_nodes(spark: SparkSession, ensemble) -> dict[int, dict[int, dict]]:
     """Nodes per tree from the saved form of the ensemble; bounded by the model."""
+    if isinstance(ensemble, ForestPartsModel):
+        found: dict[int, dict[int, dict]] = {}
+        for part in ensemble.parts():
+            first = len(found)
+            found.update({first + i: nodes for i, nodes in read_nodes(spark, part).items()})
+        return found
     path = staging_path(spark)
     ensemble.write().overwrite().save(path)
     rows = spark.read.parquet(f"{path}/data").select(
@@ -111,7 +118,7 @@ def explain_trees(model: PipelineModel, inputs: DataFrame, key: str) -> DataFram
     spark = inputs.sparkSession
     trees = read_nodes(spark, ensemble)
     weights = np.array(ensemble.treeWeights, dtype=float)
-    if "RandomForest" in type(ensemble).__name__:
+    if isinstance(ensemble, ForestPartsModel) or "RandomForest" in type(ensemble).__name__:
         weights = weights / weights.sum()
     leaves = [leaf for i, nodes in trees.items() for leaf in leaf_conditions(nodes, weights[i])]
     base = float(sum(v * np.prod([s for s, _ in c.values()]) for v, c in leaves))

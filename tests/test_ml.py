@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from lotwise import schema as S
 from lotwise.ml import explain as X
 from lotwise.ml import features as E
+from lotwise.ml import forest as R
 from lotwise.ml import metrics as M
 from lotwise.ml.models import MODEL_NAMES, fit, fit_inputs, load_model, predict, save_model
 from lotwise.ml.search import SEARCH_SPACES, best_params_report, randomized_search, sample_points, spark_parameters
@@ -265,3 +266,38 @@ def test_categories_are_indexed_for_trees(train):
     encoder, derived = fit_inputs(train, "forest")
     assert derived == {"maxBins": 32}
     assert "Area" in E.encoded_names(encoder) and E.tree_bins(encoder) == 32
+
+
+def test_a_forest_is_fitted_and_scored_in_parts(signal, train, tmp_path, monkeypatch):
+    """No fit and no pass over the rows holds more trees than a part; the parts are one forest, also after saving and in the contributions."""
+    fits = []
+
+    class Recorded(R.RandomForestRegressor):
+        def __init__(self, **options):
+            fits.append(options)
+            super().__init__(**options)
+
+    monkeypatch.setattr(R, "RandomForestRegressor", Recorded)
+    monkeypatch.setattr(R, "PART", 3)
+    monkeypatch.setattr(R, "SCORED", 2)
+    model = fit(train, "forest", **SMALL["forest"], subsamplingRate=0.75)
+    assert [f["numTrees"] for f in fits] == [3, 3, 2] and len({f["seed"] for f in fits}) == 3
+    assert all(f["maxDepth"] == 5 and f["subsamplingRate"] == 0.75 and f["maxMemoryInMB"] <= 256 for f in fits)
+    rows = signal.where("split = 'test'").drop("split")
+    found = predict(model, rows).select(S.ID, F.log1p("pred_price").alias("p")).orderBy(S.ID).toPandas()
+    forest = X.tree_stage(model)
+    trees = [t for part in forest.parts() for t in part.trees]
+    assert len(trees) == len(forest.treeWeights) == 8
+    encoded = model.stages[0].transform(rows)
+    for stage_ in model.stages[1 : model.stages.index(forest)]:
+        encoded = stage_.transform(encoded)
+    for i, tree in enumerate(trees):
+        encoded = tree.setPredictionCol(f"t{i}").transform(encoded)
+    alone = encoded.select(S.ID, *[f"t{i}" for i in range(8)]).orderBy(S.ID).toPandas().set_index(S.ID)
+    np.testing.assert_allclose(found.p, alone.mean(axis=1), rtol=1e-9)
+    assert alone.T.drop_duplicates().shape[0] == 8
+    save_model(model, f"{tmp_path}/forest")
+    again = predict(load_model(f"{tmp_path}/forest"), rows).select(S.ID, F.log1p("pred_price").alias("p")).orderBy(S.ID).toPandas()
+    np.testing.assert_allclose(again.p, found.p, rtol=1e-12)
+    sums = X.explain_trees(model, rows, S.ID).groupBy(S.ID).agg((F.sum("contribution") + F.first("base_value")).alias("e")).orderBy(S.ID).toPandas()
+    np.testing.assert_allclose(sums.e, found.p, rtol=1e-9)
