@@ -59,16 +59,19 @@ def _fit_linear(spark: SparkSession, sf: str) -> DataFrame:
     One row for each level, flag and scaled number, with the train rows that have it.
     """
     train = _train(spark, sf)
-    numbers = [S.TX, S.LOG_SIZE, S.DENSITY]
-    scaled = X.standard_scale(train, numbers)
-    rows = predict(_model(spark, sf, "linear"), train).join(scaled.select(S.ID, *[F.col(c).alias(f"_scaled_{c}") for c in numbers]), S.ID)
+    numbers, places = [S.TX, S.LOG_SIZE, S.DENSITY], ["Area", "State", "Tenure"]
+    rows = X.standard_scale(predict(_model(spark, sf, "linear"), train), numbers, X.scaling_parameters(train, numbers))
     error = F.log1p(S.TARGET) - F.log1p("pred_price")
-    one = F.lit(1.0)
-    entries = [F.struct(F.lit(c).alias("feature"), F.col(c).alias("level"), one.alias("x")) for c in ("Area", "State", "Tenure")]
-    entries += [F.struct(F.lit(c).alias("feature"), F.lit(None).cast("string").alias("level"), F.col(f"_scaled_{c}").alias("x")) for c in numbers]
-    entries += [F.struct(F.lit(c).alias("feature"), F.lit(None).cast("string").alias("level"), F.col(f"`{c}`").cast("double").alias("x")) for c in FLAGS]
-    long = rows.select(error.alias("e"), F.explode(F.array(*entries)).alias("c")).select("e", "c.*")
-    slopes = long.groupBy("feature", "level").agg(F.count(F.lit(1)).alias("n"), F.avg(F.col("e") * F.col("x")).alias("slope"))
+    products = {c: F.col("e") * F.col(f"`{c}`").cast("double") for c in [*numbers, *FLAGS]}
+    # Added up by all three places first, so that each row is read once and only the sums are taken apart.
+    sums = rows.withColumn("e", error).groupBy(*places).agg(
+        F.count(F.lit(1)).alias("n"), F.struct(F.count("e").alias("m"), F.sum("e").alias("s")).alias("_rows"),
+        *[F.struct(F.count(x).alias("m"), F.sum(x).alias("s")).alias(f"_{c}") for c, x in products.items()],
+    )
+    entries = [F.struct(F.lit(c).alias("feature"), F.col(c).alias("level"), F.col("_rows").alias("sums")) for c in places]
+    entries += [F.struct(F.lit(c).alias("feature"), F.lit(None).cast("string").alias("level"), F.col(f"`_{c}`").alias("sums")) for c in products]
+    long = sums.select("n", F.explode(F.array(*entries)).alias("c")).select("n", "c.*")
+    slopes = long.groupBy("feature", "level").agg(F.sum("n").alias("n"), (F.sum("sums.s") / F.sum("sums.m")).alias("slope"))
     # Adding 0 makes a negative zero positive.
     return slopes.select("feature", "level", "n", (F.round("slope", 6) + 0.0).alias("slope"))
 

@@ -57,3 +57,11 @@ def test_queries_run_the_search_of_the_library(spark, folder, monkeypatch):
 def test_fitted_points_are_published_ones(kind):
     assert all(POINTS[kind][name] in values for name, values in SEARCH_SPACES[kind].items())
     assert set(POINTS[kind]) == set(SEARCH_SPACES[kind])
+
+
+def test_fit_linear_reads_the_train_rows_once(spark, folder, capsys):
+    """Slopes follow from the predicted rows themselves, without a join of the train rows with a copy of theirs."""
+    QUERIES["fit_linear"](spark, folder).explain()
+    plan = capsys.readouterr().out
+    assert "Join" in plan  # the effects of the levels
+    assert not [line for line in plan.splitlines() if "Join" in line and "listing_id" in line]
