@@ -18,7 +18,7 @@ from lotwise import schema as S
 from lotwise.ml.leastsquares import BlockModel
 from lotwise.ml.levels import Levels, LevelsModel
 from lotwise.operators.profile import per_column
-from lotwise.sources.staging import small_table
+from lotwise.sources.staging import small_table, stage
 
 LABEL = "log_price"
 
@@ -216,13 +216,16 @@ def slot_scores(df: DataFrame, features: str, label: str) -> tuple[DataFrame, in
     The score is the squared correlation with the label: the F-test ranks by it, as p-values of large tables are all
     0. Each vector becomes one row for each of its non-zero entries, and these are added up by slot, so no
     vector is made dense and no task holds a sum for every slot. A slot that does not vary has the score -1.
+
+    The entries are staged: the vectors are computed once, and the plans behind them no longer carry a name for every slot.
     """
-    entry = F.unwrap_udt(F.col(features))
-    n, mean, spread, width = df.agg(
-        F.count(F.lit(1)), F.avg(label), F.var_pop(label), F.max(F.coalesce(entry["size"], F.size(entry["values"])))
+    rows = stage(df.select(F.unwrap_udt(F.col(features)).alias("entry"), F.col(label).alias("y")))
+    entry = F.col("entry")
+    n, mean, spread, width = rows.agg(
+        F.count(F.lit(1)), F.avg("y"), F.var_pop("y"), F.max(F.coalesce(entry["size"], F.size(entry["values"])))
     ).first()
     indices = F.coalesce(entry["indices"], F.sequence(F.lit(0), F.size(entry["values"]) - 1))
-    pairs = df.select(F.explode(F.arrays_zip(indices.alias("slot"), entry["values"].alias("x"))).alias("e"), (F.col(label) - F.lit(mean)).alias("y"))
+    pairs = rows.select(F.explode(F.arrays_zip(indices.alias("slot"), entry["values"].alias("x"))).alias("e"), (F.col("y") - F.lit(mean)).alias("y"))
     x = F.col("e.x")
     sums = pairs.where(x != 0).groupBy(F.col("e.slot").alias("slot")).agg(
         F.count(F.lit(1)).alias("m"), F.sum(x).alias("sx"), F.avg(x).alias("mx"), F.var_pop(x).alias("vx"), F.sum(x * F.col("y")).alias("sxy"),

@@ -244,3 +244,19 @@ def test_threads_without_an_active_session_read_the_table_of_a_model(spark, trai
     with ThreadPool(2) as pool:
         counts = pool.map(lambda _: model.transform(train).where("prediction IS NOT NULL").count(), range(2))
     assert counts == [train.count()] * 2
+
+
+def test_slot_scores_compute_the_vectors_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def read(y):
+        seen.add(1)
+        return y
+
+    rows = [(Vectors.sparse(3, {0: 1.0, 2: 2.0}), 1.0), (Vectors.dense([0.0, 1.0, 5.0]), 3.0), (Vectors.sparse(3, {2: 4.0}), 2.5)]
+    df = spark.createDataFrame(rows, ["features", "y"]).withColumn("y", F.udf(read, "double")("y"))
+    scores, width = E.slot_scores(df, "features", "y")
+    found = {r["slot"]: r["score"] for r in scores.collect()}
+    assert seen.value == len(rows) and width == 3
+    x, y = np.array([[1, 0, 2], [0, 1, 5], [0, 0, 4]], float), np.array([1.0, 3.0, 2.5])
+    assert found == pytest.approx({i: np.corrcoef(x[:, i], y)[0, 1] ** 2 for i in range(3)})
