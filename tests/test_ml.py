@@ -14,6 +14,7 @@ from lotwise.ml import explain as X
 from lotwise.ml import features as E
 from lotwise.ml import forest as R
 from lotwise.ml import metrics as M
+from lotwise.ml import models
 from lotwise.ml.models import MODEL_NAMES, fit, fit_inputs, load_model, predict, save_model
 from lotwise.ml.search import SEARCH_SPACES, best_params_report, randomized_search, sample_points, spark_parameters
 from lotwise.ml.split import hash_split, train_test_split, with_folds
@@ -301,3 +302,10 @@ def test_a_forest_is_fitted_and_scored_in_parts(signal, train, tmp_path, monkeyp
     np.testing.assert_allclose(again.p, found.p, rtol=1e-12)
     sums = X.explain_trees(model, rows, S.ID).groupBy(S.ID).agg((F.sum("contribution") + F.first("base_value")).alias("e")).orderBy(S.ID).toPandas()
     np.testing.assert_allclose(sums.e, found.p, rtol=1e-9)
+
+
+def test_boosted_fits_read_the_encoded_rows_from_a_table(train, monkeypatch):
+    staged = []
+    monkeypatch.setattr(models, "stage", lambda df: staged.append(df.columns) or stage(df))
+    fit(train, "boosted", **SMALL["boosted"])
+    assert staged == [["features", E.LABEL]]
