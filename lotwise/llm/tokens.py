@@ -27,6 +27,18 @@ _ALNUM[[*b"0123456789abcdefghijklmnopqrstuvwxyz"]] = True
 _MASK = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
+def _last_unmarked(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The last place up to each of ``at`` whose byte is no mark; 0 if there is none."""
+    inner = at.copy()
+    left = np.flatnonzero(_MARK[raw[inner]])
+    for _ in range(4):  # words end in a few marks, if in any
+        inner[left] -= 1
+        left = left[_MARK[raw[inner[left]]]]
+    if len(left):
+        inner[left] = np.maximum.accumulate(np.where(_MARK[raw], 0, np.arange(len(raw))))[inner[left]]
+    return inner
+
+
 class WordTable:
     """Numbers of short words in open addressing: 15 bytes and the length are the key, so equal keys are equal words."""
 
@@ -157,22 +169,24 @@ class WordEncoder:
         blank = _SPACE[raw[:size]]
         edges = np.flatnonzero(blank[1:] != blank[:-1]) + 1
         starts, ends = edges[::2], edges[1::2]
-        # The last byte of a word that is no mark; before it lies the word's beginning, if it has one.
-        inner = np.maximum.accumulate(np.where(_MARK[raw[:size]], 0, np.arange(size)))[ends - 1] if len(ends) else ends
+        inner = _last_unmarked(raw[:size], ends - 1)
         cut = np.where((inner >= starts) & _ALNUM[raw[inner]], inner + 1, ends)
         signs = np.flatnonzero((raw[: size - 1] == 0x3C) & (raw[1:size] == 0x7C))
         control = np.unique(np.searchsorted(starts, signs, side="right") - 1)
         cut[control] = ends[control]
         first, last = np.stack([starts, cut], 1).reshape(-1), np.stack([cut, ends], 1).reshape(-1)
+        # Most words have no marks behind them; what is empty is word 0 and not looked for.
+        places = np.flatnonzero(last > first)
+        total, control = len(first), np.searchsorted(places, 2 * control)
+        first, last = first[places], last[places]
         length = last - first
         eight = np.ndarray(len(raw) - 7, "<u8", raw, strides=(1,))
         keys = np.empty((2, len(first)), np.uint64)
         keys[0] = eight[first] & _MASK[np.minimum(length, 8)]
         keys[1] = eight[np.minimum(first + 8, len(eight) - 1)] & _MASK[np.clip(length - 8, 0, 7)] | length.astype(np.uint64) << np.uint64(56)
         numbers = self.table.find(*keys).astype(np.int64)
-        numbers[length == 0] = 0
         apart = length > SHORT
-        apart[2 * control] = True
+        apart[control] = True
         numbers[apart] = -1
         self.again[numbers[numbers >= 0]] = True
         if len(new := np.flatnonzero((numbers < 0) & ~apart)):
@@ -192,14 +206,16 @@ class WordEncoder:
             # Control tokens keep their case: only their exact spelling is one.
             exact, lowered = b" " + joined + b" ", raw.tobytes()
             is_control = np.zeros(len(length), bool)
-            is_control[2 * control] = True
+            is_control[control] = True
             names = [(exact if c else lowered)[a:b] for c, a, b in zip(is_control[others].tolist(), first[others].tolist(), last[others].tolist())]
             missing = [w for w in dict.fromkeys(names) if w not in self.long]
             if missing:
                 self.long.update(zip(missing, self._learn(missing, np.zeros((2, len(missing)), np.uint64)).tolist()))
             numbers[others] = [self.long[w] for w in names]
             self.again[numbers[others]] = True
-        return numbers, np.searchsorted(starts, np.cumsum([len(t) + 1 for t in texts]), side="right")
+        found = np.zeros(total, np.int64)
+        found[places] = numbers
+        return found, np.searchsorted(starts, np.cumsum([len(t) + 1 for t in texts]), side="right")
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         raw = [t.encode() for t in texts]

@@ -2,8 +2,10 @@
 
 import math
 import random
+import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -298,6 +300,50 @@ def test_coder_compresses_and_notices_damage():
         token_store.encode_chunk([1], [1], np.array([65536], np.uint32))
 
 
+def test_coder_settles_carries_and_checks_what_fills_the_last_block():
+    rng = np.random.default_rng(3)
+    for _ in range(20):  # sure blocks and plain ids in turn, whose sums overflow now and then
+        ids = np.where(rng.random(6000) < 0.7, 65535, rng.integers(0, 65536, 6000)).astype(np.uint32)
+        assert (token_store.decode_chunk(token_store.encode_chunk([1], [6000], ids))[2] == ids).all()
+    # The last word tells of the zeros behind the end only.
+    data = bytearray(token_store.encode_chunk([1], [6000], ids))
+    data[-8] ^= 255
+    data[-5] ^= 255
+    with pytest.raises(ValueError):
+        token_store.decode_chunk(bytes(data))
+
+
+def test_a_step_of_the_coder_is_few_array_operations():
+    """Time of both directions in plain operations on one number for each block, the best of three."""
+    lanes, steps = 1024, 512
+    blocks = np.minimum(np.random.default_rng(1).zipf(1.3, (lanes, steps)), 50_000)
+    sizes = np.full(lanes, steps)
+    a, b, hit = np.arange(lanes), np.arange(lanes)[::-1].copy(), np.arange(lanes) % 3 == 0
+    taken, unit = [], []
+    for _ in range(3):
+        start = time.process_time()
+        for _ in range(20_000):
+            np.where(hit, a, b)
+        unit.append((time.process_time() - start) / 20_000)
+        start = time.process_time()
+        assert (token_store.decode_blocks(token_store.encode_blocks(blocks, sizes), sizes) == blocks).all()
+        taken.append((time.process_time() - start) / steps)
+    assert min(taken) / min(unit) < 280  # 350 before tables of shares and of bounds were made once for many steps
+
+
+def test_chunks_leave_in_batches_of_whole_documents(monkeypatch):
+    monkeypatch.setattr(token_store, "BATCH_TOKENS", 10)
+    counts = [3, 1, 25, 1, 9, 2, 40, 1]
+    ids = np.arange(sum(counts), dtype=np.uint32)
+    content = token_store.encode_chunk([None, *range(7)], counts, ids)
+    batches = list(token_store._read(iter([pa.RecordBatch.from_pydict({"start": [100], "content": [content]})])))
+    assert len(batches) > 3 and max(b.num_rows for b in batches) < 8
+    rows = [r for b in batches for r in b.to_pylist()]
+    assert [r["doc_id"] for r in rows] == [None, *range(7)] and [r["n_tokens"] for r in rows] == counts
+    assert [r["start"] for r in rows] == (100 + np.cumsum([0, *counts[:-1]])).tolist()
+    assert b"".join(r["ids"] for r in rows) == ids.astype("<u4").tobytes()
+
+
 def test_words_are_encoded_like_texts():
     coder, rng = WordEncoder(TOKENIZER), random.Random(4)
     texts = ["".join(rng.choice("aB.,'$1 \n\t\r<|>é́ß İσς-") for _ in range(60)) for _ in range(500)]
