@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from lotwise import schema as S
+from lotwise.catalog import all_queries, learning
+from lotwise.ml import forest as R
 from lotwise.ml.models import MODEL_NAMES, fit
 from lotwise.operators.encoding import TYPE_NAMES
 from lotwise.plans import scoring as P
@@ -155,3 +157,26 @@ def test_no_requests(spark, train, lookup):  # noqa: F811
     assert scored.isEmpty() and not errors
     with pytest.raises(ValueError):
         P.score_all_models({}, empty, lookup)
+
+
+def test_a_forest_of_many_parts_is_scored_beside_other_models(spark, train, lookup, monkeypatch):  # noqa: F811
+    """The rows are written between passes, so that a pass needs the trees of some parts only; prices are those of all trees at once."""
+    rows = [(1, "area 3", "state 0", "Freehold", "Flat", 1000.0, None), (2, "nowhere", "state 1", "Freehold", "Semi D", None, 9.0)]
+    requests = spark.createDataFrame(rows, S.REQUEST)
+    monkeypatch.setattr(R, "PART", 2)
+    models = {MODEL_NAMES[k]: fit(train, k, **SMALL[k]) for k in ("linear", "forest")}
+    at_once = P.score(models["Random Forest"], "Random Forest", requests, lookup).collect()
+    passes, written = [], R.stage
+    monkeypatch.setattr(R, "SCORED", 1)
+    monkeypatch.setattr(R, "stage", lambda df: passes.append(df) or written(df))
+    scored, errors = P.score_all_models(models, requests, lookup)
+    assert not errors and scored.count() == 4 and len(passes) == 3  # four parts
+    found = {r["request_id"]: r["pred_price"] for r in scored.where("model = 'Random Forest'").collect()}
+    assert all(found[r["request_id"]] == pytest.approx(r["pred_price"]) for r in at_once) and len(found) == 2
+
+
+def test_the_query_of_all_models_leaves_none_out(spark, folder, monkeypatch):
+    linear = fit(learning._train(spark, folder), "linear")
+    monkeypatch.setattr(learning, "_model", lambda spark, sf, kind: None if kind == "forest" else linear)
+    with pytest.raises(ValueError, match="Random Forest"):
+        all_queries()["score_all_models"](spark, folder)
