@@ -41,8 +41,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     linked = jaccard_components(docs.select(key.alias("doc_id"), "text")).select(F.col("doc_id").alias("row"), "component_id").distinct()
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "hash", "row")
     found = rows.join(linked, "row").groupBy("component_id").agg(F.min(order).alias("first")).select(F.col("first.row").alias("row"))
-    kept = _kept(docs, key.alias("row")).join(found, "row", "left_semi").select("_row.*")
-    return kept.dropDuplicates(["doc_id", "text"])
+    # Whole rows are dealt out once: the join and the choice among repeated rows have the same key.
+    return _kept(docs, key.alias("row")).join(found, "row", "left_semi").dropDuplicates(["row"]).select("_row.*")
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
